@@ -1,0 +1 @@
+"""Intentionally empty: every capability covered here is a batch computation over complete tables."""
