@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,16 +56,21 @@ def drop_terminal_stop(protein: Column | str) -> Column:
 
 
 def translate_codons(cds: Column | str, unknown: str = "X") -> Column:
-    """Residues of complete codons, standard code; unknown codons give ``unknown``."""
-    codons = ("".join(bases) for bases in itertools.product(CODON_BASES, repeat=3))
-    table = F.create_map(*[F.lit(x) for pair in zip(codons, CODON_RESIDUES, strict=True) for x in pair])
-    seq = F.upper(as_col(cds))
-    n = (F.length(seq) / F.lit(3)).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    residues = F.transform(
-        starts, lambda i: F.coalesce(F.try_element_at(table, F.substr(seq, i * 3 + 1, F.lit(3))), F.lit(unknown))
-    )
-    return F.array_join(residues, "")
+    """Residues of complete codons, standard code; unknown codons give ``unknown``.
+
+    The sequence is cut into codons in one pass; a codon is its number in base four.
+    """
+
+    def digit(codon: Column, place: int) -> Column:
+        return F.instr(F.lit(CODON_BASES), F.substr(codon, F.lit(place), F.lit(1))) - 1
+
+    def residue(codon: Column) -> Column:
+        digits = [digit(codon, place) for place in (1, 2, 3)]
+        number = digits[0] * 16 + digits[1] * 4 + digits[2]
+        return F.when(F.least(*digits) >= 0, F.substr(F.lit(CODON_RESIDUES), number + 1, F.lit(1))).otherwise(unknown)
+
+    codons = F.regexp_extract_all(F.upper(as_col(cds)), F.lit("(?s).{3}"), F.lit(0))
+    return F.array_join(F.transform(codons, residue), "")
 
 
 def spliced_cds(segments: DataFrame, genome: DataFrame, transcript: str = "transcript_id") -> DataFrame:

@@ -17,6 +17,7 @@ from cladegrid.operators.cumulative import adjusted_p_values, quantiles, rank_ta
 from cladegrid.operators.expect import conflicting_assignments, duplicate_keys, union_all
 from cladegrid.operators.grid import complete, pair_blocks, with_listed
 from cladegrid.operators.joins import keyed_join
+from cladegrid.session import cut_lineage
 
 LOW_REPLICATION = 5  # fixed value: fewer units than this in a group is reported as low replication
 
@@ -39,7 +40,9 @@ class GroupComparison:
         values = F.array(*[F.struct(F.lit(m).alias("metric"), number_or_null(m).alias("value")) for m in metrics])
         long = self.clean.select(F.col(item).alias("_item"), "_g", "_u", F.inline(values))
         self.long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        self.units = quantiles(self.long, ["metric", "_u", "_g"], "value", {"unit_value": 0.5})
+        # Units are what is left after reducing all rows; every table below starts from them, so they
+        # are written once instead of being derived again by each.
+        self.units = cut_lineage(quantiles(self.long, ["metric", "_u", "_g"], "value", {"unit_value": 0.5}))
 
     def violations(self) -> DataFrame:
         """Items assigned to several groups or units, or listed more than once."""
@@ -50,13 +53,16 @@ class GroupComparison:
         return union_all([named, duplicate_keys(self.clean, [self._item], "ONE_ROW_PER_ITEM")])
 
     def group_stats(self) -> DataFrame:
-        """Per (metric, group): units, items, and medians of units and of items."""
+        """Per (metric, group): items, and medians of units and of items."""
         by = ["metric", "_g"]
-        result = self.units.groupBy(*by).agg(F.count("*").alias("n_units"))
-        items = self.long.groupBy(*by).agg(F.countDistinct("_item").alias("n_items"))
-        result = keyed_join(result, items, by)
-        result = keyed_join(result, quantiles(self.units, by, "unit_value", {"median_unit": 0.5}), by)
-        return keyed_join(result, quantiles(self.long, by, "value", {"median_item": 0.5}), by)
+        result = self.long.groupBy(*by).agg(F.countDistinct("_item").alias("n_items"))
+        units = self.units.select(*by, F.lit("unit").alias("_kind"), F.col("unit_value").alias("value"))
+        both = units.unionByName(self.long.select(*by, F.lit("item").alias("_kind"), "value"))
+        medians = quantiles(both, [*by, "_kind"], "value", {"_m": 0.5})
+        wide = medians.groupBy(*by).agg(
+            *[F.max(F.when(F.col("_kind") == k, F.col("_m"))).alias(f"median_{k}") for k in ("unit", "item")]
+        )
+        return keyed_join(result, wide, by)
 
     def global_tests(self) -> DataFrame:
         """Kruskal-Wallis per metric over groups with enough units."""
@@ -154,7 +160,7 @@ class GroupComparison:
 
     def pairwise_tests(self, global_tests: DataFrame | None = None) -> DataFrame:
         """Mann-Whitney U per pair of groups; p-values only after a significant global test."""
-        overall = (self.global_tests() if global_tests is None else global_tests).select(
+        overall = cut_lineage(self.global_tests() if global_tests is None else global_tests).select(
             "metric",
             F.col("p_value").alias("global_p_value"),
             F.col("test_status").alias("_status"),

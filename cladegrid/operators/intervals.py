@@ -164,7 +164,7 @@ def start_windows(
                 "tss_1based": anchor,
                 "window_start": F.col("_start0") + 1,
                 "window_end": F.col("_end0"),
-                "window_length": F.greatest(F.lit(0).cast("long"), F.col("_end0") - F.col("_start0")),
+                "window_length": F.when(usable, F.greatest(F.lit(0).cast("long"), F.col("_end0") - F.col("_start0"))),
                 "truncated": truncated,
                 "window_qc": label,
             }

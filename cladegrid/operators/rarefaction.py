@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from cladegrid.operators.cumulative import quantiles
 from cladegrid.operators.grid import pair_blocks
 from cladegrid.operators.joins import keyed_join
+from cladegrid.operators.ranking import first_n_per_key
 
 WORD = 60  # units per 64-bit mask word
 FULL_LISTING = 20  # up to this many units every subset is listed and filtered by size
-RANKED_LISTING = 1_000_000  # up to this many subsets of one size, draws are the first by hash
+RANKED_LISTING = 10_000  # up to this many subsets of one size (or 4 per draw), draws are the first by hash
 
 
 def _words(n: int) -> list[str]:
@@ -67,17 +68,27 @@ def _listed(spark: SparkSession, n: int, sizes: Sequence[int], words: Sequence[s
     return sized.select("subset_size", "_members", *_mask_of(F.col("_members"), words))
 
 
-def _drawn(spark: SparkSession, n: int, size: int, draws: int, seed: int, words: Sequence[str]) -> DataFrame:
-    """``draws`` different subsets of one size, in hash order of the seed."""
+def _drawn(
+    spark: SparkSession, n: int, sizes: Sequence[int], draws: int, seed: int, words: Sequence[str]
+) -> DataFrame:
+    """``draws`` different subsets of every size, in hash order of the seed.
+
+    Used where a size has at least four subsets per draw (and many in all), so three tries per draw
+    give more different ones than are needed.
+    """
     positions = F.sequence(F.lit(0), F.lit(n - 1))
-    tries = spark.range(0, 3 * draws)
+    size_list = F.array(*[F.lit(k) for k in sizes])
+    tries = spark.range(0, 3 * draws * len(sizes)).withColumn(
+        "subset_size", F.get(size_list, F.floor(F.col("id") / F.lit(3 * draws)).cast("int"))
+    )
     shuffled = F.array_sort(
-        F.transform(positions, lambda i: F.struct(F.xxhash64(F.lit(seed), F.lit(size), F.col("id"), i), i.alias("i")))
+        F.transform(positions, lambda i: F.struct(F.xxhash64(F.lit(seed), F.col("id"), i), i.alias("i")))
     )
-    members = F.array_sort(F.transform(F.slice(shuffled, 1, size), lambda s: s["i"]))
-    first = tries.select("id", members.alias("_members")).groupBy("_members").agg(F.min("id").alias("_order"))
-    chosen = first.orderBy("_order").limit(draws)
-    return chosen.select(F.lit(size).alias("subset_size"), "_members", *_mask_of(F.col("_members"), words))
+    members = F.array_sort(F.transform(F.slice(shuffled, 1, F.col("subset_size")), lambda s: s["i"]))
+    first = tries.select("subset_size", "id", members.alias("_members"))
+    unique = first.groupBy("subset_size", "_members").agg(F.min("id").alias("_order"))
+    chosen = first_n_per_key(unique, ["subset_size"], ["_order"], draws)
+    return chosen.select("subset_size", "_members", *_mask_of(F.col("_members"), words))
 
 
 def unit_subsets(
@@ -90,24 +101,27 @@ def unit_subsets(
     """
     n = len(units)
     words = _words(n)
-    exact = [k for k in range(1, n + 1) if math.comb(n, k) <= max_exact]
-    whole = [k for k in range(1, n + 1) if k not in exact and math.comb(n, k) <= iterations]
+    every = range(1, n + 1)
+    exact = [k for k in every if math.comb(n, k) <= max_exact]
+    whole = [k for k in every if k not in exact and math.comb(n, k) <= iterations]
+    drawn = [k for k in every if k not in exact + whole]
     frames = []
     if n <= FULL_LISTING:
-        listed = _listed(spark, n, list(range(1, n + 1)), words)
-        frames.append(listed.where(F.col("subset_size").isin(*(exact + whole))))
-        drawn_from = listed
+        listed = _listed(spark, n, list(every), words)
+        frames.append(listed.where(F.col("subset_size").isin(*exact, *whole)))
+        if drawn:
+            some = listed.where(F.col("subset_size").isin(*drawn))
+            order = [F.xxhash64(F.lit(seed), "_members"), F.col("_members")]
+            frames.append(first_n_per_key(some, ["subset_size"], order, iterations))
     else:
-        for k in exact + whole:
-            frames.append(_few(spark, n, k, words))
-        drawn_from = None
-    for k in (k for k in range(1, n + 1) if k not in exact + whole):
-        if drawn_from is not None and math.comb(n, k) <= RANKED_LISTING:
-            shuffled = drawn_from.where(F.col("subset_size") == k)
-            ordered = shuffled.orderBy(F.xxhash64(F.lit(seed), "_members"), "_members").limit(iterations)
-            frames.append(ordered)
-        else:
-            frames.append(_drawn(spark, n, k, iterations, seed, words))
+        frames += [_few(spark, n, k, words) for k in exact + whole]
+        few_draws = [k for k in drawn if math.comb(n, k) <= max(RANKED_LISTING, 4 * iterations)]
+        for k in few_draws:
+            order = [F.xxhash64(F.lit(seed), "_members"), F.col("_members")]
+            frames.append(first_n_per_key(_few(spark, n, k, words), ["subset_size"], order, iterations))
+        many = [k for k in drawn if k not in few_draws]
+        if many:
+            frames.append(_drawn(spark, n, many, iterations, seed, words))
     subsets = reduce(lambda a, b: a.unionByName(b), frames)
     names = F.array(*[F.lit(u) for u in units])
     labels = F.transform(F.col("_members"), lambda i: F.get(names, i))

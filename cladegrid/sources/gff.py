@@ -13,26 +13,33 @@ from cladegrid.sources.fasta import local_path
 COLUMNS = ("seqid", "source", "feature", "start", "end", "score", "strand", "phase", "attributes")
 
 
-def parse_attributes(text: Column | str) -> Column:
-    """``key=value;...`` or ``key "value"; ...`` -> map; the last of repeated keys wins."""
-    text = F.col(text) if isinstance(text, str) else text
-    items = F.filter(F.transform(F.split(text, ";"), strip), lambda i: F.contains(i, F.lit("=")) | F.contains(i, F.lit(" ")))
+def with_attributes(df: DataFrame, text: str, name: str = "attributes") -> DataFrame:
+    """``key=value;...`` or ``key "value"; ...`` -> map; the last of repeated keys wins.
+
+    Entries and keys are columns of their own, so that they are computed once per row.
+    """
+    separated = F.filter(
+        F.transform(F.split(F.col(text), ";"), strip), lambda i: F.contains(i, F.lit("=")) | F.contains(i, F.lit(" "))
+    )
 
     def entry(item: Column) -> Column:
         with_equals = F.contains(item, F.lit("="))
-        parts = F.when(with_equals, F.split(item, "=", 2)).otherwise(F.split(item, " ", 2))
-        value = strip(parts[1])
-        return F.struct(
-            strip(parts[0]).alias("key"), F.when(with_equals, value).otherwise(F.trim(value, F.lit('"'))).alias("value")
-        )
-
-    entries = F.transform(items, entry)
-    keys = F.transform(entries, lambda e: e["key"])
+        mark = F.when(with_equals, F.instr(item, "=")).otherwise(F.instr(item, " "))
+        value = strip(F.substr(item, mark + 1))
+        plain = F.when(with_equals, value).otherwise(F.trim(value, F.lit('"')))
+        return F.struct(strip(F.substr(item, F.lit(1), mark - 1)).alias("key"), plain.alias("value"))
+
+    split = df.withColumn("_items", separated).withColumn("_entries", F.transform("_items", entry))
+    keyed = split.withColumn("_keys", F.transform("_entries", lambda e: e["key"]))
     last = F.filter(
-        F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i"))),
-        lambda e: F.array_position(F.slice(keys, e["i"] + 2, F.size(keys)), e["key"]) == 0,
+        "_entries",
+        lambda e, i: ~F.array_contains(F.slice(F.col("_keys"), i + 2, F.size("_keys")), e["key"]),
+    )
+    repeated = F.size(F.array_distinct("_keys")) < F.size("_keys")
+    chosen = F.when(repeated, last).otherwise(F.col("_entries"))
+    return keyed.withColumn("_chosen", chosen).withColumn(name, F.map_from_entries("_chosen")).drop(
+        "_items", "_entries", "_keys", "_chosen"
     )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
 
 
 def first_parent(parent: Column | str) -> Column:
@@ -61,12 +68,12 @@ def read_gff(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Features of all well-formed lines; see :func:`gff_violations` for the others."""
     good = _lines(spark, path).where(_problem().isNull())
     fields = {name: F.col("_f")[i] for i, name in enumerate(COLUMNS)}
-    return good.select(
+    typed = good.select(
         "file",
-        *[fields[c].cast("long").alias(c) if c in ("start", "end") else fields[c].alias(c) for c in COLUMNS[:-1]],
-        parse_attributes(fields["attributes"]).alias("attributes"),
+        *[fields[c].cast("long").alias(c) if c in ("start", "end") else fields[c].alias(c) for c in COLUMNS],
         "value",
     )
+    return with_attributes(typed, "attributes")
 
 
 def gff_violations(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
