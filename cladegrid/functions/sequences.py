@@ -132,7 +132,7 @@ def with_protein_properties(df: DataFrame, sequence: str = "sequence") -> DataFr
     n = F.length("_standard").cast("double")
     free_mass = sum(
         (
-            (F.length("_standard") - F.length(F.translate(F.col("_standard"), residue, ""))) * F.lit(mass)
+            (F.length("_standard") - F.length(F.replace(F.col("_standard"), F.lit(residue), F.lit("")))) * F.lit(mass)
             for residue, mass in AMINO_ACID_MASS.items()
         ),
         F.lit(0.0),

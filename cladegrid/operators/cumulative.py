@@ -88,10 +88,14 @@ def rank_table(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]) -> DataFrame:
     """Exact linearly interpolated quantiles per key: one column per ``name -> probability``.
 
-    Only the buckets that contain a wanted rank are looked into.
+    First only bucket totals travel, which tell the buckets that hold a wanted rank. Then the rows of
+    just those buckets are kept (beside a small table of buckets this is a filter in the scan stage),
+    counted per value and ranked within their bucket.
     """
-    counts = value_counts(df, keys, value).withColumn("_bucket", value_bucket(F.col(value)))
-    per_bucket = counts.groupBy(*keys, "_bucket").agg(F.sum("n").alias("_in_bucket"))
+    number = F.col(value).cast("double")
+    rows = df.where(number.isNotNull() & ~F.isnan(number)).select(*keys, number.alias(value))
+    rows = rows.withColumn("_bucket", value_bucket(F.col(value)))
+    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_in_bucket"))
     by_key = Window.partitionBy(*keys)
     earlier = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = per_bucket.withColumns(
@@ -104,17 +108,17 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[st
     def position(p: float) -> Column:
         return (F.col("_total") - F.lit(1)) * F.lit(float(p))
 
-    ranks = [r for p in wanted.values() for r in (F.floor(position(p)), F.ceil(position(p)))]
     needed = F.lit(False)
-    for rank in ranks:
-        needed = needed | ((rank >= F.col("_offset")) & (rank < F.col("_offset") + F.col("_in_bucket")))
+    for p in wanted.values():
+        for rank in (F.floor(position(p)), F.ceil(position(p))):
+            needed = needed | ((rank >= F.col("_offset")) & (rank < F.col("_offset") + F.col("_in_bucket")))
+    kept = keyed_join(rows, placed.where(needed).drop("_in_bucket"), [*keys, "_bucket"], "inner")
+    counts = kept.groupBy(*keys, "_bucket", "_offset", "_total", value).agg(F.count("*").alias("_n"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = keyed_join(counts, placed.where(needed).drop("_in_bucket"), [*keys, "_bucket"], "inner").withColumn(
-        "_before", F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    )
+    ranked = counts.withColumn("_before", F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
 
     def at(rank: Column) -> Column:
-        here = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("n"))
+        here = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n"))
         return F.max(F.when(here, F.col(value)))
 
     picked = ranked.groupBy(*keys).agg(

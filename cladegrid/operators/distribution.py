@@ -1,4 +1,8 @@
-"""Zero-complete stratified distributions with explicit denominators."""
+"""Zero-complete stratified distributions with explicit denominators.
+
+Member tables have one row per member (``expect.duplicate_keys`` says so), hence members are counted
+as rows, which combines on the map side; only groups, which repeat, need a distinct count.
+"""
 
 from __future__ import annotations
 
@@ -19,12 +23,12 @@ NOT_APPLICABLE = "NOT_APPLICABLE"
 def unit_stratum_distribution(
     members: DataFrame, unit: str, stratum: str, member: str, units: Sequence[str] = ()
 ) -> DataFrame:
-    """Distinct members per (unit, stratum), zero-complete, with the unit total and fraction.
+    """Members per (unit, stratum), zero-complete, with the unit total and fraction.
 
     Configured units appear even when nothing was observed in them.
     """
     rows = members.select(label_or(unit).alias(unit), label_or(stratum).alias(stratum), F.col(member))
-    counts = rows.groupBy(unit, stratum).agg(F.countDistinct(member).alias("member_count"))
+    counts = rows.groupBy(unit, stratum).agg(F.count(member).alias("member_count"))
     observed = counts.select(unit).distinct()
     if units:
         listed = with_listed(members.sparkSession.range(1).select(), unit, units)
@@ -43,7 +47,7 @@ def class_summary(
     """
 
     def counted(df: DataFrame, counting_unit: str, key: str) -> DataFrame:
-        counts = df.where(F.col(label).isin(*labels)).groupBy(label).agg(F.countDistinct(key).alias("count"))
+        counts = df.where(F.col(label).isin(*labels)).groupBy(label).agg(F.count(key).alias("count"))
         grid = with_listed(df.sparkSession.range(1).select(), label, labels)
         cells = complete(counts, grid, [label], ["count"]).withColumn("counting_unit", F.lit(counting_unit))
         return share_of_total(cells, ["counting_unit"], {"count": ("denominator", "fraction")})
@@ -67,7 +71,7 @@ def stratum_class_distribution(
     """
     rows = joined.withColumns({stratum: label_or(stratum), label: label_or(label)})
     counts = rows.groupBy(stratum, label).agg(
-        F.countDistinct(member).alias("member_count"), F.countDistinct(group).alias("group_count")
+        F.count(member).alias("member_count"), F.countDistinct(group).alias("group_count")
     )
     if strata is not None:
         base = with_listed(joined.sparkSession.range(1).select(), stratum, list(dict.fromkeys(strata)))
@@ -85,7 +89,7 @@ def stratum_class_distribution(
 
 
 def mode_by_strata(df: DataFrame, member: str, mode: str, levels: Mapping[str, str]) -> DataFrame:
-    """Distinct members per (stratum, mode) for several stratifications, stacked and zero-complete.
+    """Members per (stratum, mode) for several stratifications, stacked and zero-complete.
 
     ``levels`` maps the name of a stratification to its column. All levels are counted in one pass.
     """
@@ -93,7 +97,7 @@ def mode_by_strata(df: DataFrame, member: str, mode: str, levels: Mapping[str, s
         *[F.struct(F.lit(name).alias("stratification"), label_or(c).alias("stratum")) for name, c in levels.items()]
     )
     rows = df.select(F.col(member), label_or(mode).alias(mode), F.inline(pairs))
-    counts = rows.groupBy("stratification", "stratum", mode).agg(F.countDistinct(member).alias("member_count"))
+    counts = rows.groupBy("stratification", "stratum", mode).agg(F.count(member).alias("member_count"))
     grid = pair_blocks(counts.select("stratification", "stratum").distinct(), counts.select(mode).distinct())
     cells = complete(counts, grid, ["stratification", "stratum", mode], ["member_count"])
     return share_of_total(

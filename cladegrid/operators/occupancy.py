@@ -33,8 +33,8 @@ def membership_from_wide(wide: DataFrame, group: str, units: Sequence[str], memb
 
 
 def copies_per_unit(membership: DataFrame, group: str, unit: str, member: str) -> DataFrame:
-    """Distinct members per (group, unit); a heavy pair is first reduced by member."""
-    return membership.groupBy(group, unit).agg(F.countDistinct(member).alias("copies"))
+    """Members per (group, unit) of a distinct membership."""
+    return membership.groupBy(group, unit).agg(F.count(member).alias("copies"))
 
 
 def classify_groups(
@@ -73,8 +73,8 @@ def classify_groups(
 
 
 def with_copies(membership: DataFrame, group: str, unit: str, member: str) -> DataFrame:
-    """Membership rows plus the number of distinct members of their (group, unit)."""
-    rows = membership.select(group, unit, member).distinct()
+    """Membership rows plus the number of members of their (group, unit)."""
+    rows = membership.select(group, unit, member)
     counts = rows.groupBy(group, unit).agg(F.count("*").alias("copies_in_unit"))
     return attach_by_key(rows, counts, [group, unit], "copies_in_unit")
 

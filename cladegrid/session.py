@@ -30,6 +30,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     builder = SparkSession.builder.master(f"local[{cores}]").appName("cladegrid")
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", memory).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     for key, value in PLAN_SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
