@@ -338,7 +338,7 @@ def audit_files(spark: SparkSession, records: Sequence[tuple[str, str, str]]) ->
             F.avg(length).alias("mean_length"),
         )
         result = result.join(stats, "path", "left")
-        problems.append(fasta_violations(seqs).select(F.substring_index("key", "|", 1).alias("path"), "rule"))
+        problems.append(fasta_violations(spark, sequence_paths).select(F.substring_index("key", "|", 1).alias("path"), "rule"))
     if gff_paths:
         kind = F.lower("feature")
         counts = read_gff(spark, gff_paths).groupBy(F.col("file").alias("path")).agg(

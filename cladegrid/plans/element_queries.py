@@ -212,11 +212,13 @@ def start_windows(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, CASE WHEN least(length(text), 90) >= greatest(1, doc_id - 100) THEN
-  substring(text, greatest(1, doc_id - 100), least(length(text), 90) - greatest(1, doc_id - 100) + 1) END AS slice FROM documents
+SELECT doc_id, CASE WHEN length(text) >= greatest(1, n_chars // 2 - 200) THEN
+  substring(text, greatest(1, n_chars // 2 - 200), length(text) - greatest(1, n_chars // 2 - 200) + 1) END AS slice FROM documents
 """)
 def closed_slices(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", sequences.closed_substring("text", F.col("doc_id") - 100, F.lit(90)).alias("slice"))
+    """The later half of every text and some more, by coordinates that may lie outside of it."""
+    first = F.floor(F.col("n_chars") / 2) - 200
+    return t.documents.select("doc_id", sequences.closed_substring("text", first, F.col("n_chars") + 7).alias("slice"))
 
 
 _FREE_MASS = " + ".join(f"(length(clean) - length(replace(clean, '{r}', ''))) * {m}::DOUBLE" for r, m in sequences.AMINO_ACID_MASS.items())

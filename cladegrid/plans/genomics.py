@@ -460,7 +460,7 @@ def promoter_profile(
 ) -> dict[str, DataFrame]:
     """Classified hits, counts per gene, distributions and the chart tables."""
     classed = evidence.classify_elements(hits, categories)
-    columns = ["species_id", "gene_id", "promoter_length", "promoter_qc"]
+    columns = [c for c in ("species_id", "gene_id", "promoter_length", "promoter_qc") if c in coordinates.columns]
     placed = classed.drop(*columns).join(coordinates.select("stable_id", *columns), "stable_id", "left")
     keys = ["stable_id", "species_id", "gene_id", "major_class"]
     cells, quality = promoter_distributions(hits, coordinates, members, check)

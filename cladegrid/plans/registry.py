@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladegrid.session import apply_plan_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,7 +20,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Callable
 
     def register(fn: Callable[[Tables], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            return fn(Tables(apply_plan_settings(spark), sf_dir))
 
         key = name or fn.__name__
         QUERIES[key] = run

@@ -197,8 +197,9 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]  # fixed values:
 
 
 def user_matrix(t: Tables) -> DataFrame:
-    """User x event type matrix of the mean of larger values; users without any stay as all-missing rows."""
-    means = t.events.where("value > 40").groupBy("user_id", "event_type").agg(F.round(F.avg("value"), 6).alias("v"))
+    """User x event type matrix of the mean of larger values, missing where there is none."""
+    larger = F.when(F.col("value") > 40, F.col("value"))
+    means = t.events.groupBy("user_id", "event_type").agg(F.round(F.avg(larger), 6).alias("v"))
     return ordered_matrix(means, "user_id", "event_type", "v", EVENT_TYPES)
 
 
@@ -209,7 +210,7 @@ def user_expression(t: Tables) -> DataFrame:
 
 
 _MATRIX_SQL = f"""
-mean AS (SELECT user_id, event_type, round(avg(value), 6) AS v FROM events WHERE value > 40 GROUP BY ALL),
+mean AS (SELECT user_id, event_type, round(avg(value) FILTER (value > 40), 6) AS v FROM events GROUP BY ALL),
 l AS (SELECT u.user_id, s.sample_id, v AS expression_value FROM (SELECT DISTINCT user_id FROM events) u
       CROSS JOIN (SELECT unnest({EVENT_TYPES}) AS sample_id) s LEFT JOIN mean ON mean.user_id = u.user_id AND event_type = s.sample_id),
 long AS (SELECT *, CASE count(expression_value) OVER (PARTITION BY user_id) WHEN 0 THEN 'MISSING' WHEN 5 THEN 'AVAILABLE' ELSE 'PARTIAL_MISSING' END AS expression_data_status,
@@ -246,7 +247,7 @@ def expression_zscores(t: Tables) -> DataFrame:
 ABUNDANCE_SQL = """
 samples AS (SELECT DISTINCT c_mktsegment || '/' || o_orderstatus AS sample_id, c_mktsegment AS sample_unit FROM orders JOIN customer ON o_custkey = c_custkey),
 sums AS (SELECT s.sample_id, o_custkey, sum(o_totalprice) AS v FROM orders JOIN samples s ON o_orderstatus = split_part(s.sample_id, '/', 2)
-         JOIN customer ON c_custkey = o_custkey AND c_mktsegment = sample_unit WHERE o_totalprice > 250000 GROUP BY ALL),
+         JOIN customer ON c_custkey = o_custkey AND c_mktsegment = sample_unit GROUP BY ALL),
 long AS (SELECT c.c_custkey, c.c_mktsegment, s.sample_id, s.sample_unit,
                 CASE WHEN c_mktsegment = sample_unit THEN coalesce(v, 0) END AS expression_value,
                 CASE WHEN c_mktsegment <> sample_unit THEN 'NOT_APPLICABLE' WHEN v IS NOT NULL THEN 'MEASURED' ELSE 'ASSAYED_ZERO' END AS measurement_status
@@ -257,7 +258,7 @@ long AS (SELECT c.c_custkey, c.c_mktsegment, s.sample_id, s.sample_unit,
 def customer_abundance(t: Tables) -> DataFrame:
     """Customers as members, segments as units, order states within a segment as samples, prices as abundance."""
     people = t.customer.select("c_custkey", "c_mktsegment")
-    orders = t.orders.where("o_totalprice > 250000").select("o_custkey", "o_orderstatus", "o_totalprice")
+    orders = t.orders.select("o_custkey", "o_orderstatus", "o_totalprice")
     states = t.orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
     sample = F.concat_ws("/", "c_mktsegment", "o_orderstatus")
     samples = states.select(sample.alias("sample_id"), "c_mktsegment").distinct()

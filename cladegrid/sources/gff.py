@@ -67,10 +67,10 @@ def _problem() -> Column:
 def read_gff(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Features of all well-formed lines; see :func:`gff_violations` for the others."""
     good = _lines(spark, path).where(_problem().isNull())
-    fields = {name: F.col("_f")[i] for i, name in enumerate(COLUMNS)}
+    fields = {name: F.get("_f", F.lit(i)) for i, name in enumerate(COLUMNS)}
     typed = good.select(
         "file",
-        *[fields[c].cast("long").alias(c) if c in ("start", "end") else fields[c].alias(c) for c in COLUMNS],
+        *[fields[c].try_cast("long").alias(c) if c in ("start", "end") else fields[c].alias(c) for c in COLUMNS],
         "value",
     )
     return with_attributes(typed, "attributes")

@@ -24,13 +24,13 @@ def read_domain_hits(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     fields = F.split(strip("value"), "\\s+", 23)
     rows = raw.select(fields.alias("f"), F.monotonically_increasing_id().alias("ordinal")).where(F.size("f") >= 22)
     return rows.select(
-        F.col("f")[0].alias("stable_id"),
-        F.col("f")[3].alias("query"),
-        F.col("f")[6].cast("double").alias("full_evalue"),
-        F.col("f")[12].cast("double").alias("domain_ievalue"),
-        F.col("f")[13].cast("double").alias("domain_score"),
-        F.col("f")[17].cast("long").alias("ali_from"),
-        F.col("f")[18].cast("long").alias("ali_to"),
+        F.get("f", F.lit(0)).alias("stable_id"),
+        F.get("f", F.lit(3)).alias("query"),
+        F.get("f", F.lit(6)).cast("double").alias("full_evalue"),
+        F.get("f", F.lit(12)).cast("double").alias("domain_ievalue"),
+        F.get("f", F.lit(13)).cast("double").alias("domain_score"),
+        F.get("f", F.lit(17)).cast("long").alias("ali_from"),
+        F.get("f", F.lit(18)).cast("long").alias("ali_to"),
         "ordinal",
     )
 
@@ -94,9 +94,9 @@ def read_duplication_pairs(spark: SparkSession, directory: str) -> DataFrame:
     modes = F.create_map(*[F.lit(x) for pair in MODE_BY_SUFFIX.items() for x in pair])
     rows = raw.select("value", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("ordinal"))
     fields = rows.select(local_path().alias("source_file"), F.split("value", "\t").alias("f"), "ordinal")
-    kept = fields.where((F.size("f") >= 3) & ~F.startswith(F.lower(F.col("f")[0]), F.lit("duplicate")))
+    kept = fields.where((F.size("f") >= 3) & ~F.startswith(F.lower(F.get("f", F.lit(0))), F.lit("duplicate")))
     return kept.select(
-        name.alias("species_id"), F.col("f")[0].alias("stable_id_1"), F.col("f")[2].alias("stable_id_2"),
+        name.alias("species_id"), F.get("f", F.lit(0)).alias("stable_id_1"), F.get("f", F.lit(2)).alias("stable_id_2"),
         modes[suffix].alias("duplication_mode"), "source_file", "ordinal",
     ).where("duplication_mode is not null")
 
