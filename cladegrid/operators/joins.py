@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladegrid.operators.expect import duplicate_keys
 from cladegrid.operators.ranking import first_per_key
 
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, so there are fewer than
@@ -21,6 +22,16 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def checked_left_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], one_to_one: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(left join, violations): right keys must be unique, and left ones too for one to one."""
+    violations = duplicate_keys(right, on, "RIGHT_KEY_UNIQUE")
+    if one_to_one:
+        violations = violations.unionByName(duplicate_keys(left, on, "LEFT_KEY_UNIQUE"))
+    return left.join(right, list(on), "left"), violations
+
+
 def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
     """Join per-key aggregates back to the rows they came from, without gathering a heavy key.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladegrid.functions.scalars import (
@@ -53,6 +53,20 @@ def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
+SPECIES_SCHEMA = (
+    "species_id string, species_name string, group string, species_subfamily string, representative boolean, outgroup string"
+)
+SAMPLE_SCHEMA = "sample_id string, species_id string, condition string, tissue string"
+
+
+def study_tables(spark: SparkSession, species: Sequence[tuple], samples: Sequence[tuple] = (), check: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Species and sample metadata of a study as small tables, their references checked."""
+    tables = spark.createDataFrame(list(species), SPECIES_SCHEMA), spark.createDataFrame(list(samples), SAMPLE_SCHEMA)
+    if check:
+        enforce([expect.metadata_violations(*tables)], "study metadata")
+    return tables
+
+
 # --- canonical transcripts -----------------------------------------------------------------------
 
 

@@ -86,6 +86,21 @@ def member_list(df: DataFrame, separator: str = "__") -> DataFrame:
     return keyed.where(F.col("stable_id").isNotNull()).select("stable_id").distinct()
 
 
+# Numeric columns of a gene/transcript map.
+MAP_NUMBERS = (
+    "gene_start", "gene_end", "transcript_start", "transcript_end", "protein_length", "cds_length", "transcript_length", "cds_modulo_3",
+)
+
+
+def canonical_maps(spark: SparkSession, paths: Sequence[str], ids: DataFrame | None = None) -> DataFrame:
+    """Gene/transcript maps of several species in one scan, restricted to ``ids`` when given."""
+    table = read_table(spark, list(paths))
+    if "stable_id" not in table.columns:
+        raise QualityError("canonical map lacks stable_id")
+    typed = table.withColumns({c: F.col(c).try_cast("long") for c in MAP_NUMBERS if c in table.columns})
+    return typed if ids is None else typed.join(ids.select("stable_id"), "stable_id", "left_semi")
+
+
 def duplication_table(df: DataFrame, members: DataFrame, separator: str = "__") -> tuple[DataFrame, DataFrame]:
     """Imported modes restricted to members: (modes with one row per id and mode, one row per partner)."""
     keyed = with_stable_id(df, separator)
@@ -180,6 +195,15 @@ def flag_value(c) -> F.Column:
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
+def read_review_table(spark: SparkSession, path: str) -> DataFrame:
+    """Panel or truth-set table: all text, trimmed, empty cells NULL, with ``row_number`` of the file line.
+
+    Such tables have a row per genome or reviewed gene and are read by one task, so that line numbers hold.
+    """
+    raw = trimmed_or_null(read_table(spark, path, missing=False).coalesce(1))
+    return raw.withColumn("row_number", (F.monotonically_increasing_id() + 2).cast("int"))
+
+
 def trimmed_or_null(df: DataFrame) -> DataFrame:
     """Every text column trimmed, empty cells as NULL."""
     return df.select(*[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c.strip()) for c in df.columns])

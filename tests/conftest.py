@@ -11,7 +11,9 @@ from cladegrid.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", 4, "4g")
+    session = local_session("8", 2, "4g")
+    # Tiny tables: compiling whole stages would take most of the time.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

@@ -227,3 +227,25 @@ def test_sinks(spark, folder):
     found = by(sinks.result_manifest(spark, folder + "/m"), "relative_path")
     assert found["sub/file.TXT"] == {"relative_path": "sub/file.TXT", "size_bytes": 3, "sha256": hashlib.sha256(open(path, "rb").read()).hexdigest(), "suffix": ".txt"}
     assert found["none"]["size_bytes"] == 0 and found["none"]["suffix"] == ""
+
+
+def test_maps_reviews_and_study_tables(spark, folder):
+    maps = [write(folder, f"{s}.tsv", f"stable_id\tgene_start\n{s}__a\t5\n{s}__b\tNA\n") for s in ("A", "B")]
+    ids = spark.createDataFrame([("A__a",), ("B__b",)], "stable_id string")
+    assert rows(delimited.canonical_maps(spark, maps, ids)) == {("A__a", 5), ("B__b", None)}
+    review = delimited.read_review_table(spark, write(folder, "truth.tsv", "\ufeffspecies_id\tgene_id\n A \tx\nB\t\n"))
+    assert rows(review, "row_number", "species_id", "gene_id") == {(2, "A", "x"), (3, "B", None)}
+    species, samples = genomics.study_tables(spark, [("A", "n", "G", None, True, None)], [("s", "A", "c", "t")])
+    assert species.count() == samples.count() == 1
+    with pytest.raises(ValueError, match="OUTGROUP_KNOWN"):
+        genomics.study_tables(spark, [("A", "n", "G", None, True, "Z")])
+
+
+def test_checked_join(spark):
+    from cladegrid.operators.joins import checked_left_join
+
+    left = spark.createDataFrame([("a", 1), ("a", 2)], "k string, x int")
+    right = spark.createDataFrame([("a", "p")], "k string, y string")
+    joined, violations = checked_left_join(left, right, ["k"])
+    assert joined.count() == 2 and violations.count() == 0
+    assert rows(checked_left_join(left, right, ["k"], one_to_one=True)[1], "rule") == {("LEFT_KEY_UNIQUE",)}
