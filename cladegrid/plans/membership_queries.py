@@ -18,10 +18,14 @@ CORE, SOFT, SHELL = 0.76, 0.64, 0.52
 
 
 def part_membership(t: Tables) -> DataFrame:
-    """Distinct (part, nation, supplier) rows; pairs are made distinct before suppliers are looked up."""
+    """Distinct (part, nation, supplier) rows; pairs are made distinct before suppliers are looked up.
+
+    Dimensions are joined one by one: the size of a base table is known when a plan is made, that of a
+    join of two is overestimated, and then the wrong side would be broadcast.
+    """
     sold = t.lineitem.select("l_partkey", "l_suppkey").distinct()
-    home = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-    return sold.join(home, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    placed = sold.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return placed.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("l_partkey").alias("part_id"), F.col("n_name").alias("unit"), F.col("l_suppkey").alias("member")
     )
 
@@ -29,12 +33,11 @@ def part_membership(t: Tables) -> DataFrame:
 def order_regions(t: Tables) -> DataFrame:
     """Distinct (order, region) rows of the supplier regions of an order."""
     sold = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    home = (
-        t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    met = (
+        sold.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
     )
-    met = sold.join(home, F.col("l_suppkey") == F.col("s_suppkey"))
     return met.select(F.col("l_orderkey").alias("order_id"), F.col("r_name").alias("unit")).distinct()
 
 
@@ -239,9 +242,9 @@ SELECT *, CAST(sum(member_count) OVER w AS BIGINT) AS stratum_total,
 FROM cells WINDOW w AS (PARTITION BY stratification, stratum)
 """)
 def mode_by_strata(t: Tables) -> DataFrame:
-    who = nation_customers(t)
-    rows = t.orders.join(who, F.col("o_custkey") == F.col("c_custkey"), "left")
-    levels = {"SPECIES": "unit", "SUBFAMILY": "c_mktsegment", "PRIORITY": "o_orderpriority"}
+    who = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = who.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    levels = {"SPECIES": "n_name", "SUBFAMILY": "c_mktsegment", "PRIORITY": "o_orderpriority"}
     return distribution.mode_by_strata(rows, "o_orderkey", "o_orderstatus", levels)
 
 

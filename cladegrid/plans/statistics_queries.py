@@ -123,8 +123,8 @@ def mann_whitney_effects(t: Tables) -> DataFrame:
 
 def price_bands(t: Tables) -> DataFrame:
     """Lines with the nation of their supplier and one of five quantity bands, whose prices differ."""
-    home = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-    rows = t.lineitem.join(home, F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = rows.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     band = F.concat(F.lit("B"), F.ceil(F.col("l_quantity") / 10).cast("string"))
     item = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     return rows.select(
