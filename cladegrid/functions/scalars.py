@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 WHITESPACE = " \t\r\n\f\x0b"
 
@@ -67,6 +68,12 @@ def number_or_null(c: Column | str) -> Column:
     return strip(as_col(c).cast("string")).try_cast("double")
 
 
+def numbers_of(df: DataFrame, column: str) -> Column:
+    """Column as double: numbers are cast, text is parsed with bad text as NULL."""
+    field = df.schema[column].dataType
+    return F.col(column).cast("double") if isinstance(field, NumericType) else number_or_null(column)
+
+
 def number_strict(c: Column | str) -> Column:
     """Numeric coercion: text that is no number fails the job; NULL stays NULL."""
     c = as_col(c)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladegrid.functions.scalars import number_or_null, strip
+from cladegrid.functions.scalars import numbers_of, strip
 from cladegrid.functions.stats import chi_square_p, rank_sum_p
 from cladegrid.operators.cumulative import adjusted_p_values, quantiles, rank_table, running_before, value_counts
 from cladegrid.operators.expect import conflicting_assignments, duplicate_keys, union_all
@@ -37,7 +37,7 @@ class GroupComparison:
         named = rows.withColumns({"_g": strip(F.col(group).cast("string")), "_u": strip(F.col(unit).cast("string"))})
         self.clean = named.where((F.col("_g") != "") & (F.col("_u") != ""))
         self._item = item
-        values = F.array(*[F.struct(F.lit(m).alias("metric"), number_or_null(m).alias("value")) for m in metrics])
+        values = F.array(*[F.struct(F.lit(m).alias("metric"), numbers_of(table, m).alias("value")) for m in metrics])
         long = self.clean.select(F.col(item).alias("_item"), "_g", "_u", F.inline(values))
         self.long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
         # Units are what is left after reducing all rows; every table below starts from them, so they
