@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,17 +38,23 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the reliable checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The reliable folder that ``spark.checkpoint.dir`` names.
 
-    Only when the session names none (single-machine tests) is a temporary folder used.
+    Only where it is unset and the session is a single JVM (tests) does it become a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = os.environ.get("TMPDIR", "/tmp")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-", dir=root))
+        if configured is None:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+            configured = tempfile.mkdtemp(prefix="spark-")
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise in the reliable checkpoint folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
