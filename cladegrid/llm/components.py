@@ -36,9 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges with a null end are ignored; loops and repeated edges do nothing beyond naming their node.
     """
-    edges = edges.select("a", "b").where("a is not null and b is not null")
+    edges = cut_lineage(edges.select("a", "b").where("a is not null and b is not null").distinct())
     loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("root"))
-    edges = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     seen = _mark(edges)
     while seen[0]:
         edges = cut_lineage(_star(_star(edges, larger=True), larger=False))
