@@ -24,12 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cladegrid.llm import words
-from cladegrid.session import cut_lineage
 
 WIDTH = 35
 # Words of an anchor and of a block.
@@ -189,9 +188,19 @@ def _resolve(width: int):
     return resolve
 
 
+def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(id, t, text): ``t`` is a hash of the text, so that id and t name what a row holds."""
+    return docs.select(*_columns(text, key))
+
+
+def _columns(text: str, key: str) -> list[Column]:
+    value = F.col(f"`{text}`").cast("string")
+    return [F.col(f"`{key}`").alias("id"), F.xxhash64(F.coalesce(value, F.lit(""))).alias("t"), value.alias("text")]
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH) -> DataFrame:
     """(id, t, spans): runs of repeated words (last exclusive, unordered) of texts, named by id and text hash ``t``."""
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("t"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = _rows(docs, text, key)
     names = rows.select("id", "t")
     listed = rows.mapInArrow(_anchor_rows(width), names.select("id", "t", F.lit(0).cast("long").alias("anchor"), F.lit(0).cast("long").alias("n")).schema)
     repeated = listed.groupBy("anchor").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", (F.col("times") > MOST).alias("many"))
@@ -208,12 +217,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
 
 def mark_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, width: int = WIDTH) -> DataFrame:
     """(row, text, spans): the columns ``keep`` (all by default) as a struct, the text, and its runs of repeated words."""
-    spans = cut_lineage(repeated_spans(docs, text, key, width)).select(F.col("id").alias("of"), F.col("t").alias("of_t"), "spans")
-    kept = F.struct("*") if keep is None else F.struct(*[f"`{c}`" for c in keep])
-    rows = docs.select(kept.alias("row"), F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    t = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("of")) & (t == F.col("of_t")), "left")
-    return joined.select("row", "text", "spans")
+    spans = repeated_spans(docs, text, key, width).select(F.col("id").alias("of"), F.col("t").alias("of_t"), "spans")
+    rows, kept = _rows(docs, text, key), F.struct(F.col("id").alias(key))
+    if keep != [key]:
+        more = F.struct("*") if keep is None else F.struct(*[f"`{c}`" for c in keep])
+        rows, kept = docs.select(more.alias("row"), *_columns(text, key)), F.col("row")
+    # with the id alone these are the same rows, dealt by the same keys, as the search for spans reads: one exchange
+    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("of")) & (F.col("t") == F.col("of_t")), "left")
+    return joined.select(kept.alias("row"), "text", "spans")
 
 
 def kept_words(text: str | None, spans: np.ndarray | None) -> tuple[list[bytes], int]:
