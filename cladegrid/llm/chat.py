@@ -61,33 +61,37 @@ def _at(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     return left.join(right, F.col("tree").eqNullSafe(F.col("r_tree")) & (F.col(key) == F.col("r_node")), how).drop("r_tree", "r_node")
 
 
-def ancestors(messages: DataFrame) -> list[DataFrame]:
-    """Tables (tree, node, up, total) for distances 1, 2, 4, ..: the ancestor and the scores from the node to below it.
+def ancestors(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (tree, node, up, total) for distances 1, 2, 4, .., and the rooted messages (tree, node, total).
 
-    In the last table ``up`` is null for every message that has a root, and ``total`` is its whole path's score.
+    ``up`` is the ancestor at that distance, ``total`` the score from the node to below it; only messages with such an
+    ancestor are in a table. For a rooted message ``total`` is the score of its whole path.
     """
     known = messages.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), F.lit(True).alias("known"))
     own = messages.withColumn("parent", F.when(F.col("parent") != F.col("node"), F.col("parent")))
-    first = _at(own, known, "parent", "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"))
-    tables = [cut_lineage(first)]
-    rounds = math.ceil(math.log2(tables[0].count() + 2)) + 1
-    while len(tables) <= rounds and not tables[-1].where("up is not null").isEmpty():
-        last = tables[-1]
-        above = last.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), F.col("up").alias("r_up"), F.col("total").alias("r_total"))
-        tables.append(cut_lineage(_at(last, above, "up", "left").select("tree", "node", F.col("r_up").alias("up"), (F.col("total") + F.coalesce("r_total", F.lit(0.0))).alias("total"))))
-    return tables
+    moved = _at(own, known, "parent", "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"))
+    moved = cut_lineage(moved)
+    rooted, tables = moved.where("up is null"), [moved.where("up is not null")]
+    rounds = math.ceil(math.log2(moved.count() + 2)) + 1
+    while len(tables) <= rounds and not tables[-1].isEmpty():
+        above = rooted.unionByName(tables[-1]).select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), F.col("up").alias("r_up"), F.col("total").alias("r_total"))
+        moved = _at(tables[-1], above, "up", "inner").select("tree", "node", F.col("r_up").alias("up"), (F.col("total") + F.col("r_total")).alias("total"))
+        moved = cut_lineage(moved)
+        rooted = rooted.unionByName(moved.where("up is null"))
+        tables.append(moved.where("up is not null"))
+    return tables[:-1] if tables[-1].isEmpty() else tables, rooted.drop("up")
 
 
 def best_paths(messages: DataFrame, branches: int) -> DataFrame:
     """(tree, leaf, branch, path_score, node, above): the messages of each tree's best leaves; ``above`` counts from the leaf."""
-    tables = ancestors(messages)
-    inner = tables[0].where("up is not null").select(F.col("tree").alias("r_tree"), F.col("up").alias("r_node"))
-    leaves = _at_anti(tables[-1].where("up is null"), inner)
+    tables, rooted = ancestors(messages)
+    inner = messages.where("parent <> node").select(F.col("tree").alias("r_tree"), F.col("parent").alias("r_node"))
+    leaves = _at_anti(rooted, inner)
     rank = F.row_number().over(W.partitionBy("tree").orderBy(F.desc("total"), "node"))
     best = leaves.withColumn("branch", rank).where(F.col("branch") <= branches)
     paths = cut_lineage(best.select("tree", F.col("node").alias("leaf"), "branch", F.col("total").alias("path_score"), "node", F.lit(0).cast("long").alias("above")))
-    for k, table in enumerate(tables[:-1]):
-        step = table.where("up is not null").select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), "up")
+    for k, table in enumerate(tables):
+        step = table.select(F.col("tree").alias("r_tree"), F.col("node").alias("r_node"), "up")
         moved = _at(paths, step, "node", "inner").withColumn("node", F.col("up")).withColumn("above", F.col("above") + (1 << k)).select(*paths.columns)
         paths = cut_lineage(paths.unionByName(moved))
     return paths
