@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cladegrid.session import cut_lineage
+
 LEAST = 0.6
 MARKER = r"(?i)licen[sc]e|copyright|spdx-"
 TERM = r"[a-z0-9][a-z0-9.+-]*[a-z0-9]|[a-z0-9]"
@@ -41,41 +43,40 @@ TEMPLATES = (
 
 
 def statements(files: DataFrame) -> DataFrame:
-    """(key, path, whole, statement) of files (key, path, text): licence lines, and the texts of licence files."""
+    """(key, path, id, statement) of files (key, path, text): licence lines, and the texts of licence files; id is a hash."""
     name = F.element_at(F.split("path", "/"), -1)
     is_file = F.coalesce(name.rlike(FILE_NAME), F.lit(False))
     marked = files.where(F.col("text").rlike(MARKER) | is_file & (F.col("text") != ""))
     lines = F.filter(F.split("text", r"\r?\n|\r"), lambda line: line.rlike(MARKER))
-    each = F.transform(F.array_distinct(lines), lambda line: F.struct(F.lit(False).alias("whole"), line.alias("statement")))
-    both = F.when(is_file, F.array_append(each, F.struct(F.lit(True).alias("whole"), F.col("text").alias("statement")))).otherwise(each)
-    return marked.select("key", "path", F.explode(both).alias("s")).select("key", "path", "s.whole", "s.statement")
+    both = F.array_distinct(F.when(is_file, F.array_append(lines, F.col("text"))).otherwise(lines))
+    return marked.select("key", "path", F.explode(both).alias("statement")).withColumn("id", F.md5("statement"))
 
 
 def _terms(rows: DataFrame, text: str) -> DataFrame:
-    """Rows with their terms and counts, ``term`` and ``n``."""
+    """The terms of a text and their counts, ``term`` and ``n``, with the other columns."""
     found = F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-    return rows.withColumn("term", F.explode(found)).groupBy(*rows.columns, "term").agg(F.count("*").alias("n"))
+    keys = [c for c in rows.columns if c != text]
+    return rows.select(*keys, F.explode(found).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
 
 
 def score_statements(texts: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """(statement, licence, score) of the distinct statements whose best template reaches ``least``."""
-    spark = texts.sparkSession
-    own = _terms(texts.select("statement").distinct(), "statement")
-    models = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, licence string, model string")
-    models = _terms(models, "model").drop("model")
-    # every statement and template with a term counts as a unit
-    ids = models.select("term", F.concat(F.lit("t"), F.col("template").cast("string")).alias("unit")).unionByName(own.select("term", F.concat(F.lit("s"), F.col("statement")).alias("unit")))
-    total = ids.agg(F.count_distinct("unit")).first()[0]
-    idf = ids.groupBy("term").agg((F.log(F.lit(1.0 + total) / (F.lit(1.0) + F.count("*"))) + 1).alias("idf"))
+    """(id, licence, score) of the distinct statements (id, statement) whose best template reaches ``least``."""
+    own = cut_lineage(_terms(texts.groupBy("id").agg(F.first("statement").alias("statement")), "statement"))
+    models = texts.sparkSession.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, licence string, model string")
+    models = _terms(models, "model")
+    units = own.select("id").distinct().count() + models.select("template").distinct().count()
+    terms = own.select("term").unionByName(models.select("term"))
+    # only the terms' counts meet the rows, and of a statement only its norm and the terms that templates have
+    idf = terms.groupBy("term").agg((F.log(F.lit(1.0 + units) / (F.lit(1.0) + F.count("*"))) + 1).alias("idf"))
     weight = (F.lit(1.0) + F.log(F.col("n").cast("double"))) * F.col("idf")
     own = own.join(idf, "term").withColumn("w", weight)
     models = models.join(idf, "term").withColumn("v", weight)
-    norms = own.groupBy("statement").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = own.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     lengths = models.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    dots = own.join(models.select("template", "licence", "term", "v"), "term").groupBy("statement", "template", "licence").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosine = dots.join(norms, "statement").join(lengths, "template").select("statement", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6).alias("score"))
-    best = cosine.where(F.col("score") >= least).groupBy("statement").agg(_best("score", "licence"))
-    return best.select("statement", "best.licence", "best.score")
+    dots = own.join(models.select("template", "licence", "term", "v"), "term").groupBy("id", "template", "licence").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    cosine = dots.join(norms, "id").join(lengths, "template").select("id", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6).alias("score"))
+    best = cosine.where(F.col("score") >= least).groupBy("id").agg(_best("score", "licence"))
+    return best.select("id", "best.licence", "best.score")
 
 
 def _best(score: str, licence: str) -> Column:
@@ -102,8 +103,8 @@ def nearest_folder(folders: DataFrame, licensed: DataFrame) -> DataFrame:
 def scan_licences(files: DataFrame, key: str, path: str, text: str, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """(key, path, licence, score, how, from_folder): how is ``own``, ``inherited`` or null."""
     rows = files.select(F.col(f"`{key}`").alias("key"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
-    found = statements(rows)
-    scored = found.join(score_statements(found, templates, least), "statement")
+    found = cut_lineage(statements(rows))
+    scored = found.join(score_statements(found, templates, least), "id")
     own = scored.groupBy("key", "path").agg(_best("score", "licence")).select(F.col("key").alias("of"), F.col("path").alias("of_path"), "best.licence", "best.score")
     name = F.element_at(F.split("path", "/"), -1)
     licensed = scored.where(name.rlike(FILE_NAME)).groupBy(folder_of(F.col("path")).alias("folder")).agg(_best("score", "licence"))
