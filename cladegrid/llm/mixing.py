@@ -3,7 +3,7 @@
 Tokens are summed per source, shares become repetition rates, and a document is emitted floor(rate) times plus one
 copy more with the fraction as probability. The coin is a hash of seed and document id, so reruns agree. Rows are
 never gathered per source: the sums are combined on the map side, and the per-source table (a row a source) is joined
-back, with skewed sources split by the join.
+back: by a broadcast if its row count is small enough, else with skewed sources split by the join.
 
 Defined cases: a null or blank text has size 0; a null source is a source of its own, the last; rows of one id get one
 coin, so repeated rows are copied alike; a null id is hashed as an empty string. An empty table gives an empty one.
@@ -17,10 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cladegrid.session import cut_lineage
+
 # [^\x20\x09-\x0D]+
 WORD = r"[^\x20\x09-\x0D]+"
 DEFAULT_WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
+# A row of the per-source table is a name and three numbers.
+BROADCAST_SOURCES = 10_000
 
 
 def text_size(text: Column) -> Column:
@@ -56,12 +60,18 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = DEFAULT_WEIGHTS,
     return levels.select("source", "source_size", "target", rate.alias("rate"))
 
 
+def _small(targets: DataFrame) -> DataFrame:
+    """The per-source table, to be broadcast if it has at most ``BROADCAST_SOURCES`` rows; else the join shuffles."""
+    targets = cut_lineage(targets)
+    return F.broadcast(targets) if targets.count() <= BROADCAST_SOURCES else targets
+
+
 def repeats(
     docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 7, weights: Sequence[float] = DEFAULT_WEIGHTS, most: int = MOST_REPEATS
 ) -> DataFrame:
     """Id, source and size of each document with ``source_size``, ``target``, ``rate`` and ``copies``, without texts."""
     sizes = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), text_size(F.col(f"`{text}`")).alias("size"))
-    targets = source_targets(sizes, weights, most).withColumnRenamed("source", "of_source")
+    targets = _small(source_targets(sizes, weights, most).withColumnRenamed("source", "of_source"))
     joined = sizes.join(targets, sizes["source"].eqNullSafe(targets["of_source"])).drop("of_source")
     return joined.withColumn("copies", _copies(F.col("rate"), F.col("key"), seed))
 
@@ -80,7 +90,7 @@ def mix(
     """
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{source}`").alias("source"), F.col(f"`{key}`").alias("key"))
     sizes = docs.select(F.col(f"`{source}`").alias("source"), text_size(F.col(f"`{text}`")).alias("size"))
-    targets = source_targets(sizes, weights, most).select(F.col("source").alias("of_source"), "rate")
+    targets = _small(source_targets(sizes, weights, most).select(F.col("source").alias("of_source"), "rate"))
     joined = rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
     copies = joined.withColumn("copies", _copies(F.col("rate"), F.col("key"), seed)).where("copies > 0")
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

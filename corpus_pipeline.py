@@ -18,10 +18,18 @@ from cladegrid.session import apply_plan_settings, shared_folder
 LEAST_SCORE = 0.5
 # Similarity of near-duplicates in percent, over shingles of five words.
 SIMILAR = 80
+# Rows of an Arrow batch; stages share Python workers, whose memory follows the batches.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    apply_plan_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter or without a clear language go. Missing labels are filled."""
+    _small_batches(spark)
     found = language.predict(docs, language.fit(docs))
     known = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
     return known.select(F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row")).select("row.*")
@@ -29,22 +37,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates."""
+    _small_batches(spark)
     return neardup.drop_near_duplicates(docs, percent=SIMILAR)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
+    _small_batches(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"), drop=True)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked; ``n_chars`` follows the text."""
+    _small_batches(spark)
     masked = secrets.redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's weight asks for."""
+    _small_batches(spark)
     return mixing.mix(docs)
 
 
@@ -61,7 +73,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_plan_settings(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
