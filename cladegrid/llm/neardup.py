@@ -124,10 +124,10 @@ def plausible(equal: np.ndarray, above: np.ndarray, n: np.ndarray, m: np.ndarray
 
 
 class _Forest:
-    """Spanning forest of links met one after another."""
+    """Groups of linked rows; ``stars`` hangs each on its row with the least node, which bands of one family share."""
 
     def __init__(self, n: int) -> None:
-        self.up, self.links = list(range(n)), []
+        self.up = list(range(n))
 
     def root(self, a: int) -> int:
         while self.up[a] != a:
@@ -137,9 +137,15 @@ class _Forest:
     def add(self, pairs: np.ndarray) -> None:
         for a, b in pairs.tolist():
             x, y = self.root(a), self.root(b)
-            if x != y:
-                self.up[max(x, y)] = min(x, y)
-                self.links.append((a, b))
+            self.up[max(x, y)] = min(x, y)
+
+    def stars(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(node, least node of its group) of every row that is not the least itself."""
+        roots = np.array([self.root(a) for a in range(len(self.up))], int)
+        least = np.full(len(self.up), np.iinfo(np.int64).max)
+        np.minimum.at(least, roots, nodes)
+        hung = nodes != least[roots]
+        return nodes[hung], least[roots[hung]]
 
 
 def _in_pieces(rows: DataFrame, group: str, node: str, pieces: str) -> DataFrame:
@@ -188,9 +194,7 @@ def _judge_buckets(least: float):
                         a = np.full(len(others), k)
                         ok = _close(rows[start + a], rows[start + others], n[start + a], n[start + others], least)
                         forest.add(np.column_stack([a[ok], others[ok]]))
-                if forest.links:
-                    a, b = np.array(forest.links).T
-                    found.append((nodes[start + a], nodes[start + b]))
+                found.append(forest.stars(nodes[start:end]))
             yield _edges(found)
 
     return judge
@@ -247,9 +251,7 @@ def _confirm(percent: int):
                 linked = np.column_stack([left[a], right[b]])
                 forest = _Forest(end - start)
                 forest.add(linked[linked[:, 0] != linked[:, 1]])
-                if forest.links:
-                    a, b = np.array(forest.links).T
-                    found.append((nodes[start + a], nodes[start + b]))
+                found.append(forest.stars(nodes[start:end]))
             yield _edges(found)
 
     return confirm
