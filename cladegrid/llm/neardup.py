@@ -98,7 +98,7 @@ def sketch(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "code", "registers", "bands"])
 
     chosen = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    fields = chosen.select("id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("code"), F.lit(None).cast("binary").alias("registers"), F.array().cast("array<long>").alias("bands"))
+    fields = chosen.select("id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("code"), *[F.lit(None).cast(t).alias(c) for c, t in (("registers", "binary"), ("bands", "array<long>"))])
     return chosen.mapInArrow(scan, fields.schema)
 
 
