@@ -29,11 +29,10 @@ def chi_square_tail(x: float, df: int) -> float:
 
 
 def rank_sum_counts(m: int, n: int) -> np.ndarray:
-    """Number of arrangements per value of U: coefficients of the Gaussian binomial (m+n choose m)."""
+    """Number of arrangements per value of U: coefficients of the Gaussian binomial (m+n choose m), as exact integers."""
     m, n = min(m, n), max(m, n)
     size = m * n + 1
-    dtype = object if size <= 50_000 else float
-    counts = np.zeros(size, dtype=dtype)
+    counts = np.zeros(size, dtype=object)
     counts[0] = 1
     for i in range(1, m + 1):
         shift = n + i
@@ -47,8 +46,7 @@ def rank_sum_counts(m: int, n: int) -> np.ndarray:
 def rank_sum_exact(u: float, m: int, n: int) -> float:
     counts = rank_sum_counts(m, n)
     larger = max(u, m * n - u)
-    tail = counts[int(larger) :].sum() / counts.sum()
-    return min(1.0, 2.0 * float(tail))
+    return min(1.0, 2.0 * (counts[int(larger) :].sum() / math.comb(m + n, m)))
 
 
 def rank_sum_normal(u: float, m: int, n: int, ties: float) -> float:

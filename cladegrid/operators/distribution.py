@@ -236,7 +236,10 @@ def ordered_matrix(
     """Pivot into one double column per listed label; absent cells stay NULL or become ``fill``."""
     picks = [F.max(F.when(F.col(column) == label, F.col(value).cast("double"))).alias(label) for label in order]
     matrix = df.groupBy(index).agg(*picks)
-    return matrix if fill is None else matrix.fillna(fill, subset=list(order))
+    if fill is None:
+        return matrix
+    filled = [F.coalesce(F.col(f"`{c}`"), F.lit(float(fill))).alias(c) for c in order]
+    return matrix.select(index, *filled)
 
 
 def positive_slices(df: DataFrame, label: str, count: str = "count") -> DataFrame:

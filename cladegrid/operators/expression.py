@@ -15,8 +15,8 @@ from cladegrid.operators.joins import attach_by_key, keyed_join
 
 def wide_with_status(members: DataFrame, matrix: DataFrame, key: str, samples: Sequence[str]) -> DataFrame:
     """Members with their sample columns and how complete they are; members without a row stay."""
-    joined = members.join(matrix.select(key, *samples), key, "left")
-    present = sum((F.when(F.col(s).isNotNull(), 1).otherwise(0) for s in samples), F.lit(0))
+    joined = members.join(matrix.select(key, *[f"`{s}`" for s in samples]), key, "left")
+    present = sum((F.when(F.col(f"`{s}`").isNotNull(), 1).otherwise(0) for s in samples), F.lit(0))
     status = (
         F.when(present == 0, F.lit("MISSING"))
         .when(present < len(samples), F.lit("PARTIAL_MISSING"))
@@ -27,7 +27,7 @@ def wide_with_status(members: DataFrame, matrix: DataFrame, key: str, samples: S
 
 def long_from_wide(wide: DataFrame, ids: Sequence[str], samples: Sequence[str], threshold: float) -> DataFrame:
     """One row per member and sample with measurement status and detection call."""
-    long = wide.unpivot(list(ids), list(samples), "sample_id", "expression_value")
+    long = wide.unpivot(list(ids), [f"`{s}`" for s in samples], "sample_id", "expression_value")
     present = F.col("expression_value").isNotNull()
     return long.withColumns(
         {

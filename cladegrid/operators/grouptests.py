@@ -228,8 +228,9 @@ class GroupComparison:
 
 def inference_note(units: DataFrame, keys: Sequence[str], group: str, value: str, min_units: int = 2) -> DataFrame:
     """Text per key that keeps a descriptive panel honest; empty when nothing needs saying."""
-    finite = units.where(F.col(value).isNotNull() & ~F.isnan(value))
-    per_group = units.groupBy(*keys, group).agg(F.count(F.when(~F.isnan(value), F.col(value))).alias("_n"))
+    is_finite = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    finite = units.where(is_finite)
+    per_group = units.groupBy(*keys, group).agg(F.count(F.when(is_finite, F.col(value))).alias("_n"))
     sizes = per_group.groupBy(*keys).agg(F.min("_n").alias("_least"))
     span = finite.groupBy(*keys).agg((F.max(value) - F.min(value)).alias("_span"))
     joined = keyed_join(sizes, span, list(keys), "left")

@@ -25,7 +25,7 @@ def membership_from_wide(wide: DataFrame, group: str, units: Sequence[str], memb
     missing = [u for u in units if u not in wide.columns]
     if missing:
         raise ValueError("units missing from the group table: " + ", ".join(missing))
-    cells = wide.unpivot([group], list(units), unit, "_cell")
+    cells = wide.unpivot([group], [f"`{u}`" for u in units], unit, "_cell")
     items = cells.select(group, unit, F.explode(split_multi("_cell")).alias(member))
     if members is not None:
         items = items.join(members.select(member), member, "left_semi")

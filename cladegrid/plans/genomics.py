@@ -571,6 +571,9 @@ def imported_expression(matrix: DataFrame, samples: Sequence[str], members: Data
 def abundance_expression(
     abundance: DataFrame, samples: DataFrame, canonical: DataFrame, members: DataFrame, sample_ids: Sequence[str], threshold: float = 1.0, check: bool = True
 ) -> dict[str, DataFrame]:
+    # genes without a canonical member leave before their values are judged
+    placed = abundance.join(samples.select("sample_id", "species_id").distinct(), "sample_id")
+    mapped = placed.join(canonical.select("species_id", "gene_id"), ["species_id", "gene_id"], "left_semi")
     if check:
         enforce(
             [
@@ -578,7 +581,7 @@ def abundance_expression(
                 expect.duplicate_keys(canonical, ["species_id", "gene_id"], "GENE_UNIQUE_IN_SPECIES"),
                 expect.duplicate_keys(members, ["stable_id"], "MEMBER_ID_UNIQUE"),
                 expect.unknown_keys(samples, canonical.select("species_id").distinct(), "species_id", "SAMPLE_SPECIES_MAPPED"),
-                expect.outside_domain(abundance, "tpm", "gene_id", "ABUNDANCE_VALUE", nullable=False),
+                expect.outside_domain(mapped, "tpm", "gene_id", "ABUNDANCE_VALUE", nullable=False),
             ],
             "abundance",
         )
