@@ -75,10 +75,11 @@ def prefixed_annotations(table: DataFrame, prefix: str, key: str = "stable_id")
 
 
 def assign_modes(members: DataFrame, assignments: DataFrame, key: str, mode: str, missing: str = "Unclassified") -> DataFrame:
-    """Mode per member; members without one become ``missing``. See :func:`mode_conflicts`."""
-    per_key = assignments.groupBy(key).agg(F.min(mode).alias(mode))
+    """Mode per member: ``missing`` without one, NULL with several. :func:`mode_conflicts` lists the latter."""
+    per_key = assignments.groupBy(key).agg(F.min(mode).alias(mode), F.max(mode).alias("_other"))
     joined = members.join(per_key, key, "left")
-    return joined.withColumn(mode, F.coalesce(F.col(mode), F.lit(missing)))
+    named = F.when(F.col(mode).isNull(), F.lit(missing)).when(F.col(mode) == F.col("_other"), F.col(mode))
+    return joined.withColumn(mode, named).drop("_other")
 
 
 def mode_conflicts(assignments: DataFrame, key: str, mode: str) -> DataFrame:

@@ -23,10 +23,9 @@ WORD = "[ \\t\\r\\n]+"
 
 
 def word_hits(t: Tables) -> DataFrame:
-    """One row per word of every text; its element is its length, long words share one."""
+    """One row per word of every text; its element is its length."""
     words = t.documents.select("doc_id", F.explode(F.split("text", WORD)).alias("word")).where("word <> ''")
-    size = F.least(F.length("word"), F.lit(12)).cast("string")
-    return words.select("doc_id", F.concat(F.lit("L"), size).alias("element"), "word")
+    return words.select("doc_id", F.concat(F.lit("L"), F.length("word").cast("string")).alias("element"), "word")
 
 
 def carriers(t: Tables) -> DataFrame:
@@ -44,7 +43,7 @@ def elements_of_texts(t: Tables) -> distribution.ElementDistribution:
 
 HITS_SQL = """
 words AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\t\\r\\n]+')) AS word FROM documents),
-hits AS (SELECT doc_id, 'L' || least(length(word), 12) AS element, word FROM words WHERE word <> '')
+hits AS (SELECT doc_id, 'L' || length(word) AS element, word FROM words WHERE word <> '')
 """
 LEVELS_SQL = f"""
 {HITS_SQL},

@@ -419,12 +419,11 @@ def pair_medians_per_end(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, coalesce(min(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), 'Unclassified') AS duplication_mode
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000 GROUP BY c_custkey
+SELECT c_custkey, CASE count(DISTINCT o_orderstatus) WHEN 0 THEN 'Unclassified' WHEN 1 THEN min(o_orderstatus) END AS duplication_mode
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey
 """)
 def mode_assignment(t: Tables) -> DataFrame:
-    large = t.orders.where("o_totalprice > 400000 AND o_orderstatus <> 'P'")
-    assigned = large.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("duplication_mode"))
+    assigned = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("duplication_mode"))
     return evidence.assign_modes(t.customer.select("c_custkey"), assigned, "c_custkey", "duplication_mode")
 
 

@@ -103,12 +103,11 @@ def last_wins_lookup(t: Tables) -> DataFrame:
 
 @query("""
 SELECT o_orderkey, CASE WHEN l.l_orderkey IS NOT NULL THEN price ELSE o_totalprice END AS o_totalprice FROM orders
-LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS price FROM lineitem WHERE l_quantity > 45 GROUP BY 1) l ON l_orderkey = o_orderkey
+LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS price FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey
 """)
 def fallback_lookup(t: Tables) -> DataFrame:
-    """Price of the dearest large line where an order has one, else the order's own price."""
-    large = t.lineitem.where("l_quantity > 45").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-    preferred = large.agg(F.max("l_extendedprice").alias("o_totalprice"))
+    """Price of the dearest line where an order has one, else the order's own price."""
+    preferred = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("o_totalprice"))
     return joins.fallback_lookup(t.orders.select("o_orderkey", "o_totalprice"), preferred, "o_orderkey", ["o_totalprice"])
 
 
@@ -211,13 +210,13 @@ def overall_status(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT 'gene' AS kind, 'G' || c_custkey AS id, NULL AS parent FROM customer WHERE c_acctbal > 0
-  UNION ALL SELECT 'mrna', 'T' || o_orderkey, 'G' || o_custkey || CASE WHEN o_orderstatus = 'P' THEN ',G0' ELSE '' END FROM orders WHERE o_totalprice > 20000
+WITH f AS (SELECT 'gene' AS kind, 'G' || c_custkey AS id, NULL AS parent FROM customer
+  UNION ALL SELECT 'mrna', 'T' || o_orderkey, 'G' || o_custkey || CASE WHEN o_orderstatus = 'P' THEN ',G0' ELSE '' END FROM orders
   UNION ALL SELECT CASE l_returnflag WHEN 'A' THEN 'exon' WHEN 'N' THEN 'cds' ELSE 'note' END, NULL, 'T' || l_orderkey FROM lineitem),
 tr AS (SELECT * FROM f WHERE kind = 'mrna')
-SELECT 'ONE_PARENT_PER_TRANSCRIPT' AS rule, count(*) AS n FROM tr WHERE contains(parent, ',')
-UNION ALL SELECT 'TRANSCRIPT_PARENT_KNOWN', count(*) FROM tr WHERE NOT contains(parent, ',') AND parent NOT IN (SELECT id FROM f WHERE kind = 'gene')
-UNION ALL SELECT 'PART_PARENT_KNOWN', count(*) FROM f WHERE kind IN ('exon', 'cds') AND parent NOT IN (SELECT id FROM tr)
+SELECT 'ONE_PARENT_PER_TRANSCRIPT' AS rule, count(*) AS n FROM tr WHERE contains(parent, ',') HAVING count(*) > 0
+UNION ALL SELECT 'TRANSCRIPT_PARENT_KNOWN', count(*) FROM tr WHERE NOT contains(parent, ',') AND parent NOT IN (SELECT id FROM f WHERE kind = 'gene') HAVING count(*) > 0
+UNION ALL SELECT 'PART_PARENT_KNOWN', count(*) FROM f WHERE kind IN ('exon', 'cds') AND parent NOT IN (SELECT id FROM tr) HAVING count(*) > 0
 """)
 def hierarchy_violations(t: Tables) -> DataFrame:
     """Customers as genes, orders as transcripts, lines as parts; violations counted by rule."""
@@ -225,10 +224,10 @@ def hierarchy_violations(t: Tables) -> DataFrame:
     gene = F.concat(F.lit("G"), F.col("o_custkey").cast("string"))
     second = F.when(F.col("o_orderstatus") == "P", ",G0").otherwise("")
     kind = F.when(F.col("l_returnflag") == "A", "exon").when(F.col("l_returnflag") == "N", "CDS").otherwise("note")
-    genes = t.customer.where("c_acctbal > 0").select(
+    genes = t.customer.select(
         F.lit("gene").alias("feature"), F.concat(F.lit("G"), F.col("c_custkey").cast("string")).alias("id"), nothing.alias("parent")
     )
-    transcripts = t.orders.where("o_totalprice > 20000").select(
+    transcripts = t.orders.select(
         F.lit("mRNA").alias("feature"), F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("id"), F.concat(gene, second).alias("parent")
     )
     parts = t.lineitem.select(kind.alias("feature"), nothing.alias("id"), F.concat(F.lit("T"), F.col("l_orderkey").cast("string")).alias("parent"))

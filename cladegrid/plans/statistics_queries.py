@@ -197,9 +197,8 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]  # fixed values:
 
 
 def user_matrix(t: Tables) -> DataFrame:
-    """User x event type matrix of the mean of larger values, missing where there is none."""
-    larger = F.when(F.col("value") > 40, F.col("value"))
-    means = t.events.groupBy("user_id", "event_type").agg(F.round(F.avg(larger), 6).alias("v"))
+    """User x event type matrix of mean values, missing where there is none."""
+    means = t.events.groupBy("user_id", "event_type").agg(F.round(F.avg("value"), 6).alias("v"))
     return ordered_matrix(means, "user_id", "event_type", "v", EVENT_TYPES)
 
 
@@ -210,7 +209,7 @@ def user_expression(t: Tables) -> DataFrame:
 
 
 _MATRIX_SQL = f"""
-mean AS (SELECT user_id, event_type, round(avg(value) FILTER (value > 40), 6) AS v FROM events GROUP BY ALL),
+mean AS (SELECT user_id, event_type, round(avg(value), 6) AS v FROM events GROUP BY ALL),
 l AS (SELECT u.user_id, s.sample_id, v AS expression_value FROM (SELECT DISTINCT user_id FROM events) u
       CROSS JOIN (SELECT unnest({EVENT_TYPES}) AS sample_id) s LEFT JOIN mean ON mean.user_id = u.user_id AND event_type = s.sample_id),
 long AS (SELECT *, CASE count(expression_value) OVER (PARTITION BY user_id) WHEN 0 THEN 'MISSING' WHEN 5 THEN 'AVAILABLE' ELSE 'PARTIAL_MISSING' END AS expression_data_status,
@@ -399,7 +398,7 @@ def longest_per_parent(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH lens AS (SELECT l_orderkey, max(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE))) AS len FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey),
+WITH lens AS (SELECT l_orderkey, max(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE))) AS len FROM lineitem GROUP BY l_orderkey),
 p AS (SELECT o_orderkey, o_custkey, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS s, len FROM orders LEFT JOIN lens ON l_orderkey = o_orderkey)
 SELECT o_orderkey, o_custkey, s AS "start", s + o_orderkey % 30 AS "end", len AS chromosome_length,
        CASE WHEN len IS NOT NULL THEN (s + s + o_orderkey % 30) / 2.0::DOUBLE END AS midpoint,
@@ -415,13 +414,13 @@ def _positions(t: Tables) -> DataFrame:
     items = t.orders.select("o_orderkey", "o_custkey", (day("o_orderdate") - zero).alias("start")).withColumn(
         "end", F.col("start") + F.col("o_orderkey") % 30
     )
-    shipped = t.lineitem.where("l_returnflag <> 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    shipped = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"))
     lengths = shipped.agg(F.max(day("l_shipdate") - zero).alias("chromosome_length"))
     return intervals.positions_on_sequences(items, lengths, ["o_orderkey"], "start", "end")
 
 
 @query("""
-WITH lens AS (SELECT l_orderkey, max(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE))) AS chromosome_length FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey)
+WITH lens AS (SELECT l_orderkey, max(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE))) AS chromosome_length FROM lineitem GROUP BY l_orderkey)
 SELECT o_custkey, chromosome_length, count(DISTINCT o_orderkey) AS item_count, round(count(DISTINCT o_orderkey) / (chromosome_length / 1000000.0::DOUBLE), 4) AS density
 FROM orders JOIN lens ON l_orderkey = o_orderkey GROUP BY o_custkey, chromosome_length
 """)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,16 +45,19 @@ def read_table(
 ) -> DataFrame:
     """All columns as text (declared by the header, nothing inferred); missing cells become NULL.
 
-    Text files of one call share a header; gz files are read whole by one task each, so spread their
-    rows afterwards if they are large.
+    Files with the same header are read by one scan; the scans are put together by column name, with NULL
+    where a file lacks a column. gz files are read whole by one task each, so spread their rows afterwards
+    if they are large.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    options = {"header": "true", "sep": sep or separator_of(spark, paths[0]), "inferSchema": "false", "encoding": "UTF-8"}
-    if comment:
-        options["comment"] = comment
-    df = spark.read.options(**options).csv(paths)
-    clean = [c.lstrip("﻿") for c in df.columns]
-    df = df.toDF(*clean)
+    alike: dict[tuple, list[str]] = {}
+    for one in [path] if isinstance(path, str) else list(path):
+        options = {"header": "true", "sep": sep or separator_of(spark, one), "inferSchema": "false", "encoding": "UTF-8"}
+        if comment:
+            options["comment"] = comment
+        columns = tuple(c.lstrip("﻿") for c in spark.read.options(**options).csv(one).columns)
+        alike.setdefault((columns, *options.items()), []).append(one)
+    scans = [spark.read.options(**dict(options)).csv(paths).toDF(*columns) for (columns, *options), paths in alike.items()]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     if not missing:
         return df
     return df.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in df.columns])
@@ -93,7 +97,7 @@ MAP_NUMBERS = (
 
 
 def canonical_maps(spark: SparkSession, paths: Sequence[str], ids: DataFrame | None = None) -> DataFrame:
-    """Gene/transcript maps of several species in one scan, restricted to ``ids`` when given."""
+    """Gene/transcript maps of several species, put together by column name, restricted to ``ids`` when given."""
     table = read_table(spark, list(paths))
     if "stable_id" not in table.columns:
         raise QualityError("canonical map lacks stable_id")

@@ -5,9 +5,11 @@ from math import comb
 from conftest import by, rows
 
 from cladegrid.functions.stats import rank_sum_counts, rank_sum_exact
+from cladegrid.operators import evidence
 from cladegrid.operators.expression import long_from_wide, wide_with_status
 from cladegrid.operators.grouptests import inference_note
 from cladegrid.operators.occupancy import membership_from_wide
+from cladegrid.sources import delimited
 
 
 def test_rank_sum_counts_are_exact_for_large_sides():
@@ -28,3 +30,18 @@ def test_labels_with_a_dot(spark):
     matrix = spark.createDataFrame([("x", 2.0)], "stable_id string, `leaf.1` double")
     joined = wide_with_status(members, matrix, "stable_id", ["leaf.1"])
     assert {r["sample_id"] for r in long_from_wide(joined, ["stable_id"], ["leaf.1"], 1.0).collect()} == {"leaf.1"}
+
+
+def test_files_with_other_column_orders_are_put_together_by_name(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("stable_id\tgene_start\tgene_end\nA__a\t1\t9\n")
+    (tmp_path / "b.tsv").write_text("stable_id\tgene_end\tgene_start\nB__b\t8\t2\n")
+    (tmp_path / "c.tsv").write_text("stable_id\tgene_start\nC__c\t3\n")
+    found = delimited.canonical_maps(spark, [str(tmp_path / f"{n}.tsv") for n in "abc"])
+    assert {tuple(r) for r in found.select("stable_id", "gene_start", "gene_end").collect()} == {("A__a", 1, 9), ("B__b", 2, 8), ("C__c", 3, None)}
+
+
+def test_members_with_several_modes_get_none(spark):
+    members = spark.createDataFrame([("x",), ("y",), ("z",), ("n",)], "k string")
+    modes = spark.createDataFrame([("x", "WGD"), ("x", "WGD"), ("y", "TD"), ("y", "WGD"), ("n", None)], "k string, m string")
+    found = {r["k"]: r["m"] for r in evidence.assign_modes(members, modes, "k", "m").collect()}
+    assert found == {"x": "WGD", "y": None, "z": "Unclassified", "n": "Unclassified"}
