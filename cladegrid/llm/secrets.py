@@ -215,6 +215,9 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]", rules: S
 
         out = []
         for value, each in zip(texts, spans):
+            if value is None:  # also rows without spans get here
+                out.append(None)
+                continue
             pieces, at = [], 0
             for span in each:
                 if span["start"] >= at:
