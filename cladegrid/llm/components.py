@@ -27,8 +27,12 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars already: every node hangs on one other at most, and none that hangs has nodes of its own."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,16 +40,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges with a null end are ignored; loops and repeated edges do nothing beyond naming their node.
     """
-    edges = cut_lineage(edges.select("a", "b").where("a is not null and b is not null").distinct())
+    ends = edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = cut_lineage(ends.distinct())
     loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("root"))
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    seen = _mark(edges)
-    while seen[0]:
+    edges = edges.where("a <> b")
+    while not _settled(edges):
         edges = cut_lineage(_star(_star(edges, larger=True), larger=False))
-        now = _mark(edges)
-        if now == seen:
-            break
-        seen = now
     named = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     named = named.unionByName(named.select(F.col("root").alias("node"), "root")).unionByName(loops)
     return named.groupBy("node").agg(F.min("root").alias("root"))

@@ -5,7 +5,7 @@ word adds its log frequencies; an unseen word adds the mean over its known n-gra
 has any, from ``LONGEST`` characters down to one. The language with the largest sum is the prediction, its share of the
 exponentials the score.
 
-Model bounds (documented parameters): about ``sample_rows`` labelled rows per language, chosen by a hash of the text,
+Model bounds (documented parameters): about ``sample_rows`` different texts per language, chosen by a hash of the text,
 ``most_words`` words and ``most_grams`` n-grams. That bounds what is collected and broadcast, whatever the corpus size.
 Counting runs on Spark; every text is predicted whole.
 
@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladegrid.session import cut_lineage
+
 LONGEST = 5
 SAMPLE_ROWS = 3000
 MOST_WORDS = 50_000
@@ -142,7 +144,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     if not languages:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     share = F.create_map(*[F.lit(x) for lang_ in languages for x in (lang_, sample_rows / sizes[lang_])])
-    picked = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32))
+    # copies are picked together and learned from once; the sample is kept, as it is read twice
+    picked = cut_lineage(rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct())
     words = _counted(picked, words_of, languages, most_words).collect()
     grams = _counted(picked, _grams, languages, most_grams).collect()
     lengths = np.array([len(r["token"]) for r in grams], int)
