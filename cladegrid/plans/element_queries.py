@@ -185,7 +185,7 @@ def packed_items(t: Tables) -> DataFrame:
 
 @query("""
 WITH g AS (SELECT doc_id, text, length(text) AS len, CAST(n_chars // 3 + 1 AS BIGINT) AS gs, CAST(n_chars // 3 + 40 AS BIGINT) AS ge,
-                  CASE doc_id % 5 WHEN 0 THEN '.' WHEN 1 THEN '-' ELSE '+' END AS strand, lang = 'es' AS lost FROM documents),
+                  CASE doc_id % 5 WHEN 0 THEN '.' WHEN 1 THEN '-' ELSE '+' END AS strand, doc_id NOT IN (SELECT doc_id FROM labels) AS lost FROM documents),
 r AS (SELECT *, CASE strand WHEN '+' THEN gs - 1 - 200 WHEN '-' THEN ge - 10 END AS rs, CASE strand WHEN '+' THEN gs - 1 + 10 WHEN '-' THEN ge + 200 END AS re FROM g),
 b AS (SELECT *, CASE WHEN NOT lost THEN greatest(0, rs) END AS s0, CASE WHEN NOT lost THEN least(len, re) END AS e0 FROM r)
 SELECT doc_id, CASE WHEN NOT lost AND strand = '+' THEN gs WHEN NOT lost AND strand = '-' THEN ge END AS tss_1based,
@@ -198,11 +198,12 @@ SELECT doc_id, CASE WHEN NOT lost AND strand = '+' THEN gs WHEN NOT lost AND str
 FROM b
 """)
 def start_windows(t: Tables) -> DataFrame:
-    """Windows around a position of each text, complemented on the minus strand."""
+    """Windows around a position of each text, complemented on the minus strand; unlabelled documents lack a sequence."""
     third = F.floor(F.col("n_chars") / 3)
     strand = F.when(F.col("doc_id") % 5 == 0, ".").when(F.col("doc_id") % 5 == 1, "-").otherwise("+")
     items = t.documents.select("doc_id", (third + 1).alias("gene_start"), (third + 40).alias("gene_end"), strand.alias("strand"))
-    lengths = t.documents.where("lang <> 'es'").select("doc_id", F.length("text").cast("long").alias("length"), "text")
+    known = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    lengths = known.select("doc_id", F.length("text").cast("long").alias("length"), "text")
     windows = intervals.start_windows(items, lengths, 200, 10, ["doc_id"])
     return windows.select(
         "doc_id", "tss_1based", "window_start", "window_end", "window_length", "truncated", "window_qc",

@@ -123,6 +123,15 @@ def unassigned_parts(t: Tables) -> DataFrame:
     return joins.unassigned_rows(t.part.select("p_partkey", "p_brand", "p_type"), assigned, "p_partkey", labels)
 
 
+@query("""
+SELECT doc_id, source, lang, 'NOT_LABELLED' AS reason, 'DOCUMENT' AS orthology_group_type FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def unassigned_documents(t: Tables) -> DataFrame:
+    labels = {"reason": "NOT_LABELLED", "orthology_group_type": "DOCUMENT"}
+    return joins.unassigned_rows(t.documents.select("doc_id", "source", "lang"), t.labels.select("doc_id"), "doc_id", labels)
+
+
 RAREFACTION_SQL = """
 region_index AS (SELECT r_name, row_number() OVER (ORDER BY r_name) - 1 AS i FROM region),
 masks AS (SELECT l_orderkey, bit_or(1 << i) AS mask
