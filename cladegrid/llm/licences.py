@@ -6,6 +6,9 @@ the templates in an equi-join on terms; the best template at ``LEAST`` cosine or
 without a licence of its own takes that of its nearest ancestor directory with a licence file, found by joining the
 distinct directories' ancestor paths. All steps are DataFrame operations, on whole texts.
 
+A best template of another family, variant or version than the statement names is no match. Statements without a match
+are met, passage by passage, with whole licence texts and the usual variants of notices (``licence_passages``).
+
 Defined cases: a null text has no statement; a null path is in no directory; repeated rows are judged alike; the best
 of several statements wins, then the smaller licence name; of several licence files in a directory the best, then the
 smaller licence name; without templates nothing has a licence; other columns are ignored.
@@ -18,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cladegrid.llm import licence_passages
 from cladegrid.session import cut_lineage
 
 LEAST = 0.6
@@ -43,12 +47,12 @@ TEMPLATES = (
 
 
 def statements(files: DataFrame) -> DataFrame:
-    """(key, path, id, statement) of files (key, path, text): licence lines, and the texts of licence files; id is a hash."""
+    """(key, path, id, statement) of files (key, path, text): licence lines, and the texts with them and of licence files; id is a hash."""
     name = F.element_at(F.split("path", "/"), -1)
     is_file = F.coalesce(name.rlike(FILE_NAME), F.lit(False))
     marked = files.where(F.col("text").rlike(MARKER) | is_file & (F.col("text") != ""))
     lines = F.filter(F.split("text", r"\r?\n|\r"), lambda line: line.rlike(MARKER))
-    both = F.array_distinct(F.when(is_file, F.array_append(lines, F.col("text"))).otherwise(lines))
+    both = F.array_distinct(F.array_append(lines, F.col("text")))
     return marked.select("key", "path", F.explode(both).alias("statement")).withColumn("id", F.md5("statement"))
 
 
@@ -60,8 +64,9 @@ def _terms(rows: DataFrame, text: str) -> DataFrame:
 
 
 def score_statements(texts: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """(id, licence, score) of the distinct statements (id, statement) whose best template reaches ``least``."""
-    own = cut_lineage(_terms(texts.groupBy("id").agg(F.first("statement").alias("statement")), "statement"))
+    """(id, licence, score, whole) of the distinct statements (id, statement) whose best template reaches ``least``."""
+    distinct = texts.groupBy("id").agg(F.first("statement").alias("statement"))
+    own = cut_lineage(_terms(distinct, "statement"))
     models = texts.sparkSession.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, licence string, model string")
     models = _terms(models, "model")
     units = own.select("id").distinct().count() + models.select("template").distinct().count()
@@ -74,14 +79,22 @@ def score_statements(texts: DataFrame, templates: Sequence[tuple[str, str]] = TE
     norms = own.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     lengths = models.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
     dots = own.join(models.select("template", "licence", "term", "v"), "term").groupBy("id", "template", "licence").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosine = dots.join(norms, "id").join(lengths, "template").select("id", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6).alias("score"))
-    best = cosine.where(F.col("score") >= least).groupBy("id").agg(_best("score", "licence"))
-    return best.select("id", "best.licence", "best.score")
-
-
-def _best(score: str, licence: str) -> Column:
-    """The highest score, then the smaller licence name."""
-    return F.min(F.struct((-F.col(score)).alias("order"), F.col(licence).alias("licence"), F.col(score).alias("score"))).alias("best")
+    cosine = dots.withColumn("whole", F.lit(False)).join(norms, "id").join(lengths, "template").select("id", "template", "licence", "whole", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6).alias("score"))
+    best = cosine.where(F.col("score") >= least).groupBy("id").agg(_best("score", "licence", "template"))
+    best = cut_lineage(best.select("id", "best.licence", "best.score", "best.whole", "best.template"))
+    if templates is not TEMPLATES:
+        return best.drop("template")
+    named = lambda text: licence_passages.marks(licence_passages.joined_terms(F.col(text)))
+    known = texts.sparkSession.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, model string").select("template", named("model").alias("known"))
+    fitting = distinct.join(best, "id").join(F.broadcast(known), "template").where(named("statement") == F.col("known")).select("id", "licence", "score", "whole")
+    others = cut_lineage(distinct.join(fitting.select("id"), "id", "left_anti"))
+    further = licence_passages.score_passages(others, least).groupBy("id").agg(_best("score", "licence"))
+    return fitting.unionByName(further.select("id", "best.licence", "best.score", "best.whole"))
+
+
+def _best(score: str, licence: str, *others: str) -> Column:
+    """A match of a whole text, then the highest score, then the smaller licence name."""
+    return F.min(F.struct((~F.col("whole")).alias("part"), (-F.col(score)).alias("order"), F.col(licence).alias("licence"), F.col(score).alias("score"), "whole", *others)).alias("best")
 
 
 def folder_of(path: Column) -> Column:

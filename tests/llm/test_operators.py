@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute
 
-from cladegrid.llm import chat, decontaminate, language, licences, mixing, neardup, secrets, substrings, topk, urls
+from cladegrid.llm import chat, decontaminate, language, licence_passages, licences, mixing, neardup, secrets, substrings, topk, urls
 
 DOCS = "doc_id long, text string, lang string, source string, row string, id string"
 
@@ -156,3 +156,20 @@ def test_licences_inherit_from_the_nearest_folder(spark):
     found = {r["path"]: (r["licence"], r["how"]) for r in licences.scan_licences(frame, "k", "p", "t").collect()}
     assert found["a/x.py"] == ("MIT", "inherited") and found["a/b/c/y.py"] == ("CC-BY-NC-4.0", "inherited")
     assert found["a/z.py"] == ("Apache-2.0", "own") and found[None] == (None, None)
+
+
+def test_licence_texts_variants_and_conflicts(spark):
+    whole = dict(licence_passages.texts())
+    bsd, mit = whole["BSD-3-Clause"], whole["MIT"]
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+    gnu = "# under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n"
+    agpl = whole["GPL-3.0"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
+    cases = [(name, text) for name, text in whole.items()]
+    cases += [("MIT", "Copyright (c) 2020 Somebody Else\n\n" + mit), ("MIT", mit.replace("\n", " ")), ("MIT", "#!/bin/sh\n# " + mit.replace("\n", "\n# ") + "x = 1\ny = other(z)\n" * 200)]
+    cases += [("Apache-2.0", apache), ("GPL-2.0", gnu.format("", 2)), ("LGPL-2.1", gnu.format("Lesser ", "2.1")), ("AGPL-3.0", gnu.format("Affero ", 3)), ("AGPL-3.0", agpl)]
+    cases += [(i.removesuffix("-only").removesuffix("-or-later"), f"# SPDX-License-Identifier: {i}\ncode") for i in ("GPL-2.0-only", "LGPL-2.1-or-later", "ISC", "BSD-2-Clause", "CC-BY-SA-4.0", "CC-BY-ND-4.0", "AGPL-3.0-or-later")]
+    cases += [("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("MIT", "the parser of this small project is a fork of ours and is released under the MIT License, see the docs for more of it")]
+    cases += [(None, "This work is licensed under the GNU General Public License, version 1."), (None, "SPDX-License-Identifier: GPL-1.0-only"), (None, bsd.replace("3. Neither", "3. All advertising materials must say so.\n4. Neither")), (None, "a licence to kill, copyright of the author")]
+    frame = spark.createDataFrame([(i, f"{i}/x", text) for i, (_, text) in enumerate(cases)], "k long, p string, t string")
+    found = {r["key"]: r["licence"] for r in licences.scan_licences(frame, "k", "p", "t").collect()}
+    assert [(i, found[i], text[:60]) for i, (name, text) in enumerate(cases) if found[i] != name] == []
