@@ -139,12 +139,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     """Learn from the rows with a label and a text."""
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the share is one of different texts, as copies are picked together and learned from once
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     share = F.create_map(*[F.lit(x) for lang_ in languages for x in (lang_, sample_rows / sizes[lang_])])
-    # copies are picked together and learned from once; the sample is kept, as it is read twice
+    # the sample is kept, as it is read twice
     picked = cut_lineage(rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct())
     words = _counted(picked, words_of, languages, most_words).collect()
     grams = _counted(picked, _grams, languages, most_grams).collect()

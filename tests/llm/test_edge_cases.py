@@ -71,6 +71,12 @@ def test_copies_are_learned_from_once(spark):
     assert model.word_logs[model.words["cat"]][0] == model.word_logs[model.words["chat"]][1]
 
 
+def test_languages_of_copies_are_learned_in_full(spark):
+    rows = [(f"le chat numero {chr(97 + k % 5) * 9}", "fr") for k in range(2000)] + [(f"the cat {k}", "en") for k in range(5)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample_rows=5)
+    assert all(letter * 9 in model.words for letter in "abcde")
+
+
 def test_empty_trees_vectors_pages_and_files(spark):
     messages = spark.createDataFrame([], "tree long, node long, parent long, role string, text string, score double, up long, r_tree long")
     assert chat.format_trees(messages).collect() == []
