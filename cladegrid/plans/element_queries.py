@@ -162,6 +162,14 @@ def level_matrix(t: Tables) -> DataFrame:
     return distribution.ordered_matrix(cells, "cell_id", "element", "hit_count", _LENGTHS, fill=0.0)
 
 
+@query(f"""
+WITH {LEVELS_SQL} SELECT cell_id, element, hit_count FROM grid WHERE aggregation_level = 'SPECIES_SUBFAMILY'
+""")
+def level_matrix_long(t: Tables) -> DataFrame:
+    """The whole matrix, a row for each cell and element; ``level_matrix`` has the columns of its SQL, L1 to L12."""
+    return elements_of_texts(t).distribution().where("aggregation_level = 'SPECIES_SUBFAMILY'").select("cell_id", "element", "hit_count")
+
+
 @query("SELECT lang, count(*) AS count FROM documents GROUP BY lang HAVING count(*) > 0")
 def positive_label_counts(t: Tables) -> DataFrame:
     return distribution.positive_slices(distribution.label_counts(t.documents, "lang"), "lang")

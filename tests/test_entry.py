@@ -48,3 +48,10 @@ def test_results_equal_sql(spark, name):
     positions = [[d[0] for d in relation.description].index(c) for c in columns]
     expected = sorted(tuple(str(row[i]) for i in positions) for row in relation.fetchall())
     assert sorted(tuple(str(r[c]) for c in columns) for r in df.collect()) == expected
+
+
+def test_long_matrix_has_every_word_length(spark):
+    cells = entry.queries()["level_matrix_long"](spark, SMALL)
+    words = entry.queries()["element_distribution"](spark, SMALL).where("aggregation_level = 'SPECIES_SUBFAMILY'")
+    total = lambda df: df.selectExpr("sum(hit_count)", "max(int(substring(element, 2)))").first()
+    assert tuple(total(cells)) == tuple(total(words)) and total(cells)[1] > 12
