@@ -1,4 +1,4 @@
-"""Queries op1 to op10 over whole tables, the pipeline, and their SQL counterparts where SQL can express them."""
+"""Queries op1 to op13 over whole tables, the pipeline, and their SQL counterparts where SQL can express them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladegrid.llm import chat, decontaminate, language, licences, mixing, neardup, secrets, substrings, topk, urls
+from cladegrid.llm import alignment, chat, decontaminate, language, licences, mixing, neardup, personal, secrets, substrings, topk, trie, urls
 from cladegrid.session import apply_plan_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +233,47 @@ def op10_url_filters(table):
     pages = table("pages")
     rules = pages.sparkSession.createDataFrame(_RULES, "host string, path string, allow boolean")
     return urls.judge_pages(pages, rules, urls.page_links(pages)).withColumnRenamed("key", "page_id")
+
+
+# crc32 by one bit after the other, as DuckDB has none
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_TRIE_SQL = f"""
+with told as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+turns as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, digest) - 1 as pos, digest, words
+  from (select conv_id, turn, sha256(length(role)::varchar || ':' || role || text) as digest, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::bigint as words from told)),
+convs as (select conv_id, conv_id - conv_id % 20 as base, {_CRC32} % 4 as h from (select distinct conv_id from turns)),
+taken as (select c.conv_id, t.pos, t.digest, t.words from convs c join turns t on t.conv_id = c.base and t.pos < c.h),
+counted as (select c.conv_id, c.h, count(t.pos) as taken from convs c left join taken t on t.conv_id = c.conv_id group by all),
+rebuilt as (select * from taken union all select t.conv_id, t.pos - c.h + c.taken, t.digest, t.words from turns t join counted c using (conv_id) where t.pos >= c.h),
+paths as (select conv_id, pos + 1 as depth, words, string_agg(digest, '') over (partition by conv_id order by pos) as node from rebuilt union all select conv_id, 0, 0, '' from convs),
+nodes as (select node, depth, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs from paths group by node, depth),
+linked as (select n.*, p.node as parent from nodes n left join paths p on p.conv_id = n.conv_id and p.depth = n.depth - 1),
+children as (select parent, count(*) as n_children from linked where parent is not null group by parent),
+full_nodes as (select l.*, coalesce(c.n_children, 0) as n_children from linked l left join children c on c.parent = l.node),
+below as (select p.node, sum((f.n_children = 0)::int) as n_leaves, sum((f.n_convs - 1) * f.words) as saved_tokens from full_nodes f join paths p on p.conv_id = f.conv_id and p.depth <= f.depth group by p.node),
+ends as (select node, string_agg(conv_id::varchar, ',' order by conv_id) as ids from (select conv_id, arg_max(node, depth) as node from paths group by conv_id) group by node)
+select f.conv_id, f.depth::bigint as depth, u.conv_id as parent_conv_id, f.n_convs::bigint as n_convs, f.n_children::bigint as n_children, b.n_leaves::bigint as n_leaves,
+  b.saved_tokens::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from full_nodes f left join nodes u on u.node = f.parent join below b on b.node = f.node left join ends e on e.node = f.node
+"""
+
+
+@_query(_TRIE_SQL)
+def op11_prefix_trie(table):
+    turns, convs = trie.share_openings(trie.number_turns(table("conversations")), 20, 4)
+    return trie.prefix_trie(turns, convs)
+
+
+@_query()
+def op12_tokenizer_alignment(table):
+    return alignment.align(table("documents"), keep=["doc_id"]).select("row.*", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@_query()
+def op13_personal_data(table):
+    docs = table("documents")
+    found = personal.find_personal(docs, personal.fit(docs), keep=["doc_id"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *[of(kind).alias(f"n_{kind}") for kind in personal.KINDS], _sha(listed(F.col("base"))).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
