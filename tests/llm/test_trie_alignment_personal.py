@@ -104,7 +104,7 @@ def test_base_patterns():
 
 
 def test_gradient():
-    tagger, rng = personal.Tagger(3, 1), np.random.default_rng(0)
+    tagger, rng = personal.Tagger(3, 1, float), np.random.default_rng(0)
     ids, labels = rng.integers(0, personal.CHARACTERS, (2, 7)), np.array([[0, 1, 2, 2, 0, 3, 4], [5, 6, 6, 0, 0, 7, 8]])
     grad = tagger.loss(ids, labels)[1]
     for name, values in tagger.p.items():
@@ -142,7 +142,7 @@ def test_personal_data(spark):
     rng = random.Random(8)
     rows = list(_personal_rows(rng, 700))
     learned = spark.createDataFrame(rows[:500], "doc_id long, text string")
-    tagger = personal.fit(learned, per_kind=120, steps=150)
+    tagger = personal.fit(learned, per_kind=120, steps=500)
     # held-out spans, found by the network alone
     held = [t for _, t in rows[500:]]
     exact, alone = [set(personal.base_spans(t)) for t in held], [set(s) for s in personal.tag(held, tagger)]
