@@ -1,9 +1,10 @@
-"""Exact ranks, quantiles and prefix sums of groups of any size.
+"""Exact ranks, quantiles, prefix sums and suffix minima of groups of any size.
 
 A window over a whole group would sort the group inside one task. Here equal values are first
-counted (combined on the map side), the distinct values are cut into buckets by a fixed monotone
-function, and only bucket totals are accumulated per group; running sums inside a bucket are added
-to the total of the buckets before it. Work is spread by (group, bucket) and results are exact.
+counted (combined on the map side), the distinct values of large groups are cut into buckets at
+split points taken from the data, and only bucket totals are accumulated per group; running sums
+inside a bucket are added to the total of the buckets before it. Work is spread by (group, bucket)
+and results are exact, whatever the distribution of the values.
 """
 
 from __future__ import annotations
@@ -13,21 +14,47 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladegrid.operators.joins import keyed_join
+from cladegrid.operators.joins import attach_by_key, keyed_join
 
-# Buckets per factor of e; doubles span about 1,455 such factors on each side of zero, so a group has
-# at most some 12 million bucket totals and in practice (a few factors) some ten thousand.
-BUCKETS_PER_E = 4096
-_ZERO = 0
-_SIDE = 1 << 30
+# A group is cut when it holds more than 1/SHARE of all points and more than SMALL of them, into
+# buckets of about half that size. There are fewer than SHARE such groups, with some 2 * SHARE split
+# points in all; that is the size bound of what is broadcast.
+SHARE, SMALL = 1000, 10_000
+# Points are drawn by a hash; every OVERSAMPLE-th of them splits, which evens the buckets out.
+OVERSAMPLE = 16
 
 
-def value_bucket(value: Column) -> Column:
-    """Monotone bucket number of a finite or infinite double; logarithmic, so it fits any scale."""
-    magnitude = F.floor(F.ln(F.abs(value)) * F.lit(BUCKETS_PER_E))
-    infinite = F.abs(value) == F.lit(float("inf"))
-    size = F.when(infinite, F.lit(_SIDE)).otherwise(magnitude + F.lit(_SIDE // 2)).cast("long")
-    return F.when(value == 0, F.lit(_ZERO)).when(value > 0, size + 1).otherwise(-size - 1).cast("long")
+def split_points(points: DataFrame, keys: Sequence[str], position: str, share: int = SHARE, small: int = SMALL) -> DataFrame:
+    """(keys, _splits): ascending split points of the keys that are too large for one task.
+
+    ``points`` has one row per (keys, position). The draw depends on the values alone, so the same
+    points always have the same splits.
+    """
+    sizes = points.groupBy(*keys).agg(F.count("*").alias("_points"))
+    most = F.greatest(F.lit(small), F.floor(sizes.agg(F.sum("_points")).scalar() / F.lit(share)))
+    large = sizes.where(F.col("_points") > most).select(*keys, F.greatest(F.lit(1), F.floor(most / F.lit(2 * OVERSAMPLE))).alias("_every"))
+    drawn = keyed_join(points.select(*keys, position), F.broadcast(large), keys, "inner")
+    drawn = drawn.where(F.pmod(F.xxhash64(*keys, position), F.col("_every")) == 0)
+    listed = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(position)).alias("_drawn"))
+    return listed.select(*keys, F.filter("_drawn", lambda _, i: i % OVERSAMPLE == OVERSAMPLE - 1).alias("_splits"))
+
+
+def _splits_up_to(splits: Column, value: Column) -> Column:
+    """How many of the ascending split points are not above the value, by bisection."""
+    steps = F.array(*[F.lit(1 << b) for b in range(15, -1, -1)])
+
+    def step(at: Column, reach: Column) -> Column:
+        return F.when(F.get(splits, at + reach - 1) <= value, at + reach).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step).cast("long")
+
+
+def with_buckets(points: DataFrame, keys: Sequence[str], position: str, share: int = SHARE, small: int = SMALL) -> DataFrame:
+    """Add ``_bucket``, which ascends with the position within a key; keys that fit a task have one bucket."""
+    splits = split_points(points, keys, position, share, small)
+    joined = keyed_join(points, F.broadcast(splits), keys, "left")
+    bucket = F.coalesce(_splits_up_to(F.col("_splits"), F.col(position)), F.lit(0).cast("long"))
+    return joined.withColumn("_bucket", bucket).drop("_splits")
 
 
 def width_bucket_of(width: int):
@@ -47,16 +74,17 @@ def running_before(
     keys: Sequence[str],
     position: str,
     sums: Mapping[str, str],
-    bucket=value_bucket,
+    bucket=None,
     totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add sums of columns over all smaller positions of the same key.
 
     ``points`` has one row per (keys, position). ``sums`` maps a column to the name of its sum over
     strictly smaller positions; ``totals`` optionally maps a column to the name of its key total.
+    Positions are cut at split points, or by ``bucket`` (coordinates into bins of a width).
     """
     totals = totals or {}
-    bucketed = points.withColumn("_bucket", bucket(F.col(position)))
+    bucketed = with_buckets(points, keys, position) if bucket is None else points.withColumn("_bucket", bucket(F.col(position)))
     columns = sorted(set(sums) | set(totals))
     per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_s_{c}") for c in columns])
     by_key = Window.partitionBy(*keys)
@@ -90,7 +118,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[st
 
     Only the buckets that contain a wanted rank are looked into.
     """
-    counts = value_counts(df, keys, value).withColumn("_bucket", value_bucket(F.col(value)))
+    counts = with_buckets(value_counts(df, keys, value), keys, value)
     per_bucket = counts.groupBy(*keys, "_bucket").agg(F.sum("n").alias("_in_bucket"))
     by_key = Window.partitionBy(*keys)
     earlier = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,21 +159,30 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[st
     return picked.select(*keys, *[between(name, p) for name, p in wanted.items()])
 
 
+def minimum_from_here(points: DataFrame, keys: Sequence[str], position: str, value: str, name: str) -> DataFrame:
+    """Add the least ``value`` over this and all larger positions of the same key.
+
+    ``points`` has one row per (keys, position) and its ``_bucket``: bucket minima are carried down
+    from the larger buckets, so only the positions of one bucket meet in a task.
+    """
+    lows = points.groupBy(*keys, "_bucket").agg(F.min(value).alias("_low"))
+    later = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
+    carried = lows.select(*keys, "_bucket", F.min("_low").over(later).alias("_later"))
+    joined = keyed_join(points, carried, [*keys, "_bucket"], "inner")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(position).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    return joined.withColumn(name, F.least(F.min(value).over(inside), F.col("_later"))).drop("_later")
+
+
 def adjusted_p_values(df: DataFrame, keys: Sequence[str], p: str, adjusted: str) -> DataFrame:
-    """Benjamini-Hochberg adjustment of the non-NULL p-values of each key.
+    """Benjamini-Hochberg adjustment of the p-values of each key, of any number; NULL and NaN ones stay without.
 
-    One row per test: the table holds results of group comparisons, not data rows.
+    Equal p-values are adjusted alike, so the work is done once per distinct value and joined back.
     """
-    family = Window.partitionBy(*keys, F.col(p).isNotNull())
-    up_to = family.orderBy(p).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    from_here = family.orderBy("_p_rank").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    scaled = F.col(p) * F.count(p).over(family) / F.col("_p_rank")
-    return (
-        df.withColumn("_p_rank", F.count("*").over(up_to))
-        .withColumn("_scaled", scaled)
-        .withColumn(
-            adjusted,
-            F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("_scaled").over(from_here))),
-        )
-        .drop("_p_rank", "_scaled")
-    )
+    bucketed = with_buckets(value_counts(df, keys, p, "_n"), keys, p)
+    ranked = running_before(bucketed, keys, p, {"_n": "_before"}, lambda _: F.col("_bucket"), {"_n": "_total"})
+    scaled = ranked.withColumn("_scaled", F.col(p) * F.col("_total") / (F.col("_before") + F.col("_n")))
+    lowest = minimum_from_here(scaled, keys, p, "_scaled", adjusted)
+    per_value = lowest.select(*keys, p, "_n", F.least(F.lit(1.0), F.col(adjusted)).alias(adjusted))
+    given = F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double"))
+    tested = attach_by_key(df.where(given), per_value, [*keys, p], "_n").drop("_n")
+    return tested.unionByName(df.where(~given).withColumn(adjusted, F.lit(None).cast("double")))

@@ -184,7 +184,8 @@ class GroupComparison:
         result = result.withColumns({"test_status": status, "inference_warning": warning}).withColumn(
             "_p", rank_sum_p("u_statistic", "n_units_1", "n_units_2", "_ties")
         )
-        result = result.withColumn("p_value", F.when(F.col("test_status") == "PASS", F.col("_p")))
+        # one row per pair of groups; kept, as the adjustment starts from it several times
+        result = cut_lineage(result.withColumn("p_value", F.when(F.col("test_status") == "PASS", F.col("_p"))))
         adjusted = adjusted_p_values(result, ["metric"], "p_value", "p_adjusted_bh")
         effect = F.lit(2.0) * F.col("u_statistic") / (F.col("n_units_1") * F.col("n_units_2")) - F.lit(1.0)
         return adjusted.select(

@@ -155,3 +155,38 @@ def test_describe_keeps_null_stratum_and_empty_metric(spark):
     assert found[("s", "b")]["n"] == 0 and found[("s", "b")]["median"] is None
     assert len(rows(describe.describe(long, ["metric", "stratum"], keep_empty=False))) == 2
     assert long.where(F.col("metric") == "a").count() == 3
+
+
+def test_split_points_even_out_a_narrow_band(spark):
+    """100,000 values within 100 of 1.7e9, a few far away, and small keys that stay whole."""
+    values = F.when(F.col("id") % 1000 == 7, -F.pow(F.lit(10.0), F.col("id") % 300)).otherwise(F.lit(1.7e9) + F.col("id") / 1000)
+    points = spark.range(100_000).select(F.lit("a").alias("k"), values.alias("v")).dropDuplicates(["v"])
+    points = points.unionByName(spark.range(3000).select((F.col("id") % 30).cast("string").alias("k"), F.col("id").cast("double").alias("v")))
+    found = by(cumulative.with_buckets(points, ["k"], "v", share=50, small=1000).groupBy("k", "_bucket").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "k", "_bucket")
+    sizes = [r["n"] for (k, _), r in found.items() if k == "a"]
+    total = points.count()
+    assert max(sizes) <= total / 50 and sum(sizes) == points.where("k = 'a'").count() and len(sizes) > 50
+    assert all(b == 0 for k, b in found if k != "a")
+    ends = [(found["a", b]["lo"], found["a", b]["hi"]) for b in sorted(b for k, b in found if k == "a")]
+    assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+
+
+def test_ranks_and_adjustment_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(cumulative.with_buckets, "__defaults__", (20, 50))
+    rng = random.Random(6)
+    data = [(k, rng.choice([1.0, 0.0, 0.5, round(rng.random() ** 3, 3)])) for k in "aaaab" for _ in range(400)] + [("c", None), ("c", 0.2), ("a", float("nan"))]
+    df = spark.createDataFrame(data, "k string, p double")
+    expected = []
+    for k in "abc":
+        own = sorted(p for key, p in data if key == k and p is not None and not math.isnan(p))
+        low, out = 1.0, {}
+        for i in range(len(own), 0, -1):
+            low = min(low, own[i - 1] * len(own) / i)
+            out[own[i - 1]] = low
+        expected += [(k, p, pytest.approx(out[p])) for p in own]
+    found = cumulative.adjusted_p_values(df, ["k"], "p", "q").collect()
+    assert sorted((r.k, r.p, r.q) for r in found if r.q is not None) == expected
+    assert sorted(r.k for r in found if r.q is None) == ["a", "c"]
+    ranks = {r.v: r.avg_rank for r in cumulative.rank_table(df.where("k = 'a'").withColumnRenamed("p", "v"), ["k"], "v").collect()}
+    own = pd.Series([p for k, p in data if k == "a" and p is not None and not math.isnan(p)])
+    assert ranks == dict(zip(own, own.rank()))
