@@ -1,24 +1,29 @@
 """Rarefaction: how many groups are seen in any / in all units of a subset, per subset size.
 
 Groups are reduced to presence bit masks and counted per distinct mask before any subset is looked
-at, so the work is subsets x distinct masks and does not grow with the number of groups.
+at, so the work is subsets x distinct masks and does not grow with the number of groups. Subsets
+are numbered: those of a size are all the ranks 0 .. C(n, k) - 1, or the first places of a seeded
+permutation of them, and a rank names its subset. Their number follows from the parameters alone,
+so they are sent to the masks in parts of a fixed size, and each task adds up its own masks.
 """
 
 from __future__ import annotations
 
+import bisect
+import hashlib
+import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cladegrid.operators.grid import pair_blocks
-from cladegrid.operators.ranking import first_n_per_key
-
 WORD = 60  # units per 64-bit mask word
-FULL_LISTING = 20  # up to this many units every subset is listed and filtered by size
-RANKED_LISTING = 10_000  # up to this many subsets of one size (or 4 per draw), draws are the first by hash
+PART_BYTES = 64 << 20  # subsets that are sent to the tasks at once
+ROUNDS = 4  # of the permutation
 
 
 def _words(n: int) -> list[str]:
@@ -46,47 +51,57 @@ def group_masks(membership: DataFrame, group: str, unit: str, units: Sequence[st
     return masks.groupBy(*words).agg(F.count("*").alias("n_groups"))
 
 
-def _mask_of(indexes: Column, words: Sequence[str]) -> list[Column]:
-    def mask(low: int) -> Column:
-        own = F.filter(indexes, lambda i: (i >= low) & (i < low + WORD))
-        bits = F.transform(own, lambda i: _bit(i - F.lit(low)))
-        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a + b)
-
-    return [mask(number * WORD).alias(word) for number, word in enumerate(words)]
-
-
-def _listed(spark: SparkSession, n: int, sizes: Sequence[int], words: Sequence[str]) -> DataFrame:
-    """Every subset of the given sizes, numbered in the order of index combinations."""
-    positions = F.sequence(F.lit(0), F.lit(n - 1))
-    everything = spark.range(1, 1 << n).withColumn(
-        "_members",
-        F.filter(positions, lambda i: F.getbit(F.col("id"), i) == 1),
-    )
-    sized = everything.withColumn("subset_size", F.size("_members")).where(F.col("subset_size").isin(*sizes))
-    return sized.select("subset_size", "_members", *_mask_of(F.col("_members"), words))
+def permuted(place: int, size: int, seed: int, subset_size: int) -> int:
+    """The rank at a place of the seeded permutation of 0 .. size - 1.
 
+    The ranks are pairs of digits to the least base whose square is not below the size; each round
+    moves one digit by a hash of the other. Pairs above the size are permuted on until they fit.
+    """
+    base = math.isqrt(size - 1) + 1
+    high, low = divmod(place, base)
+    while True:
+        for number in range(ROUNDS):
+            digest = hashlib.md5(f"{seed}:{subset_size}:{number}:{low}".encode()).hexdigest()
+            high, low = low, (high + int(digest[:13], 16) % base) % base
+        if high * base + low < size:
+            return high * base + low
+
+
+def subset_of_rank(rank: int, n: int, subset_size: int) -> list[int]:
+    """The subset of 0 .. n - 1 at a rank in the order of index combinations."""
+    members = []
+    for i in range(n):
+        if len(members) == subset_size:
+            break
+        starting = math.comb(n - i - 1, subset_size - len(members) - 1)
+        if rank < starting:
+            members.append(i)
+        else:
+            rank -= starting
+    return members
+
+
+def _numbered(spark: SparkSession, n: int, counts: dict[int, int], seed: int) -> DataFrame:
+    """(id, subset_size, members, words): the first ``counts[k]`` subsets of every size k."""
+    sizes = sorted(counts)
+    ends = list(itertools.accumulate(counts[k] for k in sizes))
+    words = _words(n)
 
-def _drawn(
-    spark: SparkSession, n: int, sizes: Sequence[int], draws: int, seed: int, words: Sequence[str]
-) -> DataFrame:
-    """``draws`` different subsets of every size, in hash order of the seed.
+    def subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            found = []
+            for number in ids:
+                at = bisect.bisect_right(ends, number)
+                k, place = sizes[at], number - (ends[at - 1] if at else 0)
+                every = math.comb(n, k)
+                found.append(subset_of_rank(place if counts[k] == every else permuted(place, every, seed, k), n, k))
+            masks = [[sum(1 << i - w * WORD for i in m if w * WORD <= i < (w + 1) * WORD) for m in found] for w in range(len(words))]
+            columns = [pa.array(ids), pa.array([len(m) for m in found], pa.int32()), pa.array(found, pa.list_(pa.int32())), *(pa.array(m, pa.int64()) for m in masks)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "subset_size", "_members", *words])
 
-    Used where a size has at least four subsets per draw (and many in all), so three tries per draw
-    give more different ones than are needed.
-    """
-    positions = F.sequence(F.lit(0), F.lit(n - 1))
-    size_list = F.array(*[F.lit(k) for k in sizes])
-    tries = spark.range(0, 3 * draws * len(sizes)).withColumn(
-        "subset_size", F.get(size_list, F.floor(F.col("id") / F.lit(3 * draws)).cast("int"))
-    )
-    shuffled = F.array_sort(
-        F.transform(positions, lambda i: F.struct(F.xxhash64(F.lit(seed), F.col("id"), i), i.alias("i")))
-    )
-    members = F.array_sort(F.transform(F.slice(shuffled, 1, F.col("subset_size")), lambda s: s["i"]))
-    first = tries.select("subset_size", "id", members.alias("_members"))
-    unique = first.groupBy("subset_size", "_members").agg(F.min("id").alias("_order"))
-    chosen = first_n_per_key(unique, ["subset_size"], ["_order"], draws)
-    return chosen.select("subset_size", "_members", *_mask_of(F.col("_members"), words))
+    fields = ", ".join(["id long, subset_size int, _members array<int>", *(f"{w} long" for w in words)])
+    return spark.range(ends[-1] if ends else 0).mapInArrow(subsets, fields)
 
 
 def unit_subsets(
@@ -94,33 +109,14 @@ def unit_subsets(
 ) -> DataFrame:
     """Subsets per size: all of them when there are at most ``max_exact``, else up to ``iterations``.
 
-    Their number is fixed by the parameters alone. Draws replace the seeded generator of other
-    implementations by hash order, so drawn subsets differ from theirs; listed ones do not.
+    Drawn subsets are different ones and always as many as wanted; they differ from those of a
+    random generator, listed ones do not. Iterations count listed subsets in the order of index
+    combinations and drawn ones by their labels.
     """
     n = len(units)
-    words = _words(n)
-    every = range(1, n + 1)
-    exact = [k for k in every if math.comb(n, k) <= max_exact]
-    whole = [k for k in every if k not in exact and math.comb(n, k) <= iterations]
-    drawn = [k for k in every if k not in exact + whole]
-    frames = []
-    if n <= FULL_LISTING:
-        listed = _listed(spark, n, list(every), words)
-        frames.append(listed.where(F.col("subset_size").isin(*exact, *whole)))
-        if drawn:
-            some = listed.where(F.col("subset_size").isin(*drawn))
-            order = [F.xxhash64(F.lit(seed), "_members"), F.col("_members")]
-            frames.append(first_n_per_key(some, ["subset_size"], order, iterations))
-    else:
-        frames += [_few(spark, n, k, words) for k in exact + whole]
-        few_draws = [k for k in drawn if math.comb(n, k) <= max(RANKED_LISTING, 4 * iterations)]
-        for k in few_draws:
-            order = [F.xxhash64(F.lit(seed), "_members"), F.col("_members")]
-            frames.append(first_n_per_key(_few(spark, n, k, words), ["subset_size"], order, iterations))
-        many = [k for k in drawn if k not in few_draws]
-        if many:
-            frames.append(_drawn(spark, n, many, iterations, seed, words))
-    subsets = reduce(lambda a, b: a.unionByName(b), frames)
+    every = {k: math.comb(n, k) for k in range(1, n + 1)}
+    exact = [k for k, c in every.items() if c <= max_exact]
+    subsets = _numbered(spark, n, {k: c if c <= max_exact else min(c, iterations) for k, c in every.items()}, seed)
     names = F.array(*[F.lit(u) for u in units])
     labels = F.transform(F.col("_members"), lambda i: F.get(names, i))
     is_exact = F.col("subset_size").isin(*exact) if exact else F.lit(False)
@@ -130,24 +126,36 @@ def unit_subsets(
         .withColumn("_labels", F.when(is_exact, labels).otherwise(F.array_sort(labels)))
         .withColumn("iteration", F.row_number().over(rank).cast("long"))
         .withColumn("subset", F.array_join("_labels", ","))
-        .select("subset_size", "iteration", "sampling", "subset", *words)
+        .select("id", "subset_size", "iteration", "sampling", "subset", *_words(n))
     )
 
 
-def _few(spark: SparkSession, n: int, size: int, words: Sequence[str]) -> DataFrame:
-    """All subsets of a size for which they are few although there are many units (size near 0 or n)."""
-    left_out = n - size if size > n // 2 else size
-    grown = spark.range(1).select(F.array().cast("array<int>").alias("_members"))
-    for _ in range(left_out):
-        start = F.coalesce(F.try_element_at("_members", F.lit(-1)) + 1, F.lit(0))
-        following = F.when(start < n, F.sequence(start, F.lit(n - 1))).otherwise(F.array().cast("array<int>"))
-        grown = grown.select("_members", F.explode(following).alias("_next")).select(
-            F.array_append("_members", F.col("_next")).alias("_members")
-        )
-    if left_out != size:
-        positions = F.sequence(F.lit(0), F.lit(n - 1))
-        grown = grown.select(F.array_except(positions, "_members").alias("_members"))
-    return grown.select(F.lit(size).alias("subset_size"), "_members", *_mask_of(F.col("_members"), words))
+def _bits(words: list[np.ndarray], n: int) -> np.ndarray:
+    """0 and 1 of every unit, one row per mask."""
+    return np.stack([(words[i // WORD] >> (i % WORD)) & 1 for i in range(n)], 1).astype(np.float32)
+
+
+def _seen(masks: DataFrame, subsets: pa.Table, words: Sequence[str], n: int) -> DataFrame:
+    """(id, pan_count, core_count) of the given subsets, added up per task and then over tasks."""
+    shared = masks.sparkSession.sparkContext.broadcast((subsets.column("id").to_numpy(), [subsets.column(w).to_numpy() for w in words]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, packed = shared.value
+        pan, core, some = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), False
+        for batch in batches:
+            weights = batch.column("n_groups").to_numpy()
+            held = [batch.column(w).to_numpy() for w in words]
+            some |= len(weights) > 0
+            for a, b in itertools.product(range(0, len(weights), 1024), range(0, len(ids), 4096)):
+                mine, theirs = _bits([w[a : a + 1024] for w in held], n), _bits([w[b : b + 4096] for w in packed], n)
+                common = mine @ theirs.T
+                pan[b : b + 4096] += weights[a : a + 1024] @ (common > 0)
+                core[b : b + 4096] += weights[a : a + 1024] @ (common == theirs.sum(1))
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, pan, core)], names=["id", "pan_count", "core_count"])
+
+    counted = masks.mapInArrow(count, "id long, pan_count long, core_count long")
+    return counted.groupBy("id").agg(F.sum("pan_count").alias("pan_count"), F.sum("core_count").alias("core_count"))
 
 
 def rarefaction(
@@ -160,19 +168,19 @@ def rarefaction(
     seed: int = 1,
 ) -> DataFrame:
     """Per subset of units: groups present in any (``pan_count``) and in all (``core_count``) of them."""
-    words = _words(len(units))
+    n, words = len(units), _words(len(units))
     masks = group_masks(membership, group, unit, units)
     subsets = unit_subsets(membership.sparkSession, units, max_exact, iterations, seed)
-    names = ["subset_size", "iteration", "sampling", "subset"]
-    probes = subsets.select(*names, *[F.col(w).alias(f"s_{w}") for w in words])
-    both = pair_blocks(masks, probes)
-    shared = [F.col(w).bitwiseAND(F.col(f"s_{w}")) for w in words]
-    touches = reduce(lambda a, b: a | b, [s != 0 for s in shared])
-    covers = reduce(lambda a, b: a & b, [s == F.col(f"s_{w}") for s, w in zip(shared, words, strict=True)])
-    return both.groupBy(*names).agg(
-        F.sum(F.when(touches, F.col("n_groups")).otherwise(0)).alias("pan_count"),
-        F.sum(F.when(covers, F.col("n_groups")).otherwise(0)).alias("core_count"),
-    )
+    every = {k: math.comb(n, k) for k in range(1, n + 1)}
+    total = sum(c if c <= max_exact else min(c, iterations) for c in every.values())
+    step = max(1, PART_BYTES // (8 * (len(words) + 1)))
+    packed = [subsets.where((F.col("id") >= a) & (F.col("id") < a + step)).select("id", *words).toArrow() for a in range(0, total, step)]
+    counted = reduce(DataFrame.unionByName, [_seen(masks, part, words, n) for part in packed])
+    named = subsets.select("id", "subset_size", "iteration", "sampling", "subset").join(counted, "id", "left")
+    return named.select(
+        "subset_size", "iteration", "sampling", "subset",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("pan_count", "core_count")],
+    )
 
 
 def rarefaction_summary(iterations: DataFrame) -> DataFrame:

@@ -165,9 +165,40 @@ def rarefaction_summary(t: Tables) -> DataFrame:
     return rounded(rarefaction.rarefaction_summary(found))
 
 
-@query()
+def _rank_sql(n: str, k: str) -> str:
+    return f"(factorial(({n})::int) // (factorial(({k})::int) * factorial((({n}) - ({k}))::int)))::bigint"
+
+
+_DRAWN_SQL = f"""
+WITH RECURSIVE {MEMBERSHIP_SQL},
+units AS (SELECT unnest({NATIONS}) AS unit, unnest(range({len(NATIONS)})) AS i),
+masks AS (SELECT part_id, bit_or(1::bigint << i::int) AS mask FROM (SELECT DISTINCT part_id, i FROM m JOIN units USING (unit)) GROUP BY part_id),
+distinct_masks AS (SELECT mask, count(*) AS n FROM masks GROUP BY mask),
+sizes AS (SELECT k, {_rank_sql("25", "k")} AS every FROM (SELECT unnest(range(1, 26)) AS k)),
+places AS (SELECT k, every, every <= 300 AS exact, ceil(sqrt(every))::bigint AS base, unnest(range(CASE WHEN every <= 300 THEN every ELSE least(every, 100) END)) AS place FROM sizes),
+moved(k, every, exact, base, place, high, low, turn) AS (
+  SELECT k, every, exact, base, place, place // base, place % base, 0 FROM places
+  UNION ALL SELECT k, every, exact, base, place, low, (high + ('0x' || substr(md5('7:' || k || ':' || (turn % 4) || ':' || low), 1, 13))::bigint % base) % base, turn + 1
+  FROM moved WHERE NOT (turn > 0 AND turn % 4 = 0 AND high * base + low < every)),
+ranked AS (SELECT k, exact, place, CASE WHEN exact OR every <= 100 THEN place ELSE high * base + low END AS rank FROM moved WHERE turn > 0 AND turn % 4 = 0 AND high * base + low < every),
+named(k, exact, place, rank, i, members) AS (
+  SELECT k, exact, place, rank, 0, []::int[] FROM ranked
+  UNION ALL SELECT k, exact, place, CASE WHEN takes THEN rank ELSE rank - starting END, i + 1, CASE WHEN takes THEN list_append(members, i) ELSE members END
+  FROM (SELECT *, rank < starting AS takes FROM (SELECT *, CASE WHEN len(members) = k THEN 0 WHEN 25 - i - 1 < k - len(members) - 1 THEN 0
+          ELSE {_rank_sql("greatest(25 - i - 1, 0)", "least(greatest(k - len(members) - 1, 0), greatest(25 - i - 1, 0))")} END AS starting FROM named WHERE i < 25))),
+labelled AS (SELECT k, exact, members, list_transform(members, lambda x: {NATIONS}[x + 1]) AS labels,
+             list_reduce(list_prepend(0::bigint, list_transform(members, lambda x: 1::bigint << x)), lambda a, b: a + b) AS s FROM named WHERE i = 25),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN exact THEN members END, list_sort(labels)) AS iteration FROM labelled)
+SELECT k::int AS subset_size, iteration, CASE WHEN exact THEN 'exact' ELSE 'random_unique' END AS sampling,
+       array_to_string(CASE WHEN exact THEN labels ELSE list_sort(labels) END, ',') AS subset,
+       (SELECT coalesce(sum(n), 0)::bigint FROM distinct_masks WHERE mask & s <> 0) AS pan_count,
+       (SELECT coalesce(sum(n), 0)::bigint FROM distinct_masks WHERE mask & s = s) AS core_count FROM numbered
+"""
+
+
+@query(_DRAWN_SQL)
 def rarefaction_drawn(t: Tables) -> DataFrame:
-    """25 units: small and large subsets are listed, those of middle size drawn by seeded hash order."""
+    """25 units: small and large subsets are listed, those of middle size drawn by a seeded permutation of their ranks."""
     return rarefaction.rarefaction(
         part_membership(t), "part_id", "unit", NATIONS, max_exact=300, iterations=100, seed=7
     )

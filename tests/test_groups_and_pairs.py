@@ -1,4 +1,5 @@
 import itertools
+import math
 import os
 import random
 
@@ -71,8 +72,6 @@ def test_rarefaction_by_brute_force(spark, n, max_exact, iterations):
     held = {g: {u for u in units if rng.random() < 0.7} for g in range(30)}
     df = spark.createDataFrame([(g, u) for g, s in held.items() for u in s], "g long, u string")
     found = rarefaction.rarefaction(df, "g", "u", units, max_exact, iterations, seed=3).collect()
-    import math
-
     for k in range(1, n + 1):
         own = [r for r in found if r.subset_size == k]
         assert len(own) == min(math.comb(n, k), max(iterations, max_exact if math.comb(n, k) <= max_exact else 0)), k
@@ -87,6 +86,22 @@ def test_rarefaction_by_brute_force(spark, n, max_exact, iterations):
     assert [r.subset for r in exact] == ([",".join(c) for c in itertools.combinations(units, 2)] if exact else [])
 
 
+def test_drawn_ranks_are_a_permutation():
+    for size in (1, 2, 3, 50, 5041, 5042):
+        assert sorted(rarefaction.permuted(i, size, 5, 3) for i in range(size)) == list(range(size))
+    ranks = range(math.comb(7, 3))
+    assert [tuple(rarefaction.subset_of_rank(r, 7, 3)) for r in ranks] == list(itertools.combinations(range(7), 3))
+    assert len({rarefaction.permuted(i, math.comb(200, 90), 5, 90) for i in range(500)}) == 500
+
+
+def test_subsets_are_sent_in_parts(spark, monkeypatch):
+    units = [f"u{i}" for i in range(6)]
+    df = spark.createDataFrame([(g, units[(g * i) % 6]) for g in range(20) for i in range(3)], "g long, u string")
+    whole = rows(rarefaction.rarefaction(df, "g", "u", units, 10, 12))
+    monkeypatch.setattr(rarefaction, "PART_BYTES", 200)
+    assert rows(rarefaction.rarefaction(df, "g", "u", units, 10, 12)) == whole and len(whole) == 49
+
+
 def test_pairs_merge_in_arrival_order(spark):
     membership = spark.createDataFrame(
         [("H1", "R", "r1"), ("H1", "A", "a1"), ("H1", "B", "b1"), ("H1", "B", "b2"), ("H2", "R", "r2"), ("H2", "R", "r3"), ("H2", "A", "a2")],
