@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cladegrid.functions.scalars import as_col
 
@@ -90,39 +85,43 @@ def spliced_cds(segments: DataFrame, genome: DataFrame, transcript: str = "trans
     return joined.select(transcript, cds.alias("cds")).withColumn("protein", translate_codons("cds"))
 
 
-def _side_chain_charge(counts: dict[str, np.ndarray], ph: np.ndarray) -> np.ndarray:
-    charge = np.zeros_like(ph)
-    for residue, pk in PK_POSITIVE.items():
-        charge += counts[residue] / (1.0 + 10.0 ** (ph - pk))
-    for residue, pk in PK_NEGATIVE.items():
-        charge -= counts[residue] / (1.0 + 10.0 ** (pk - ph))
-    return charge
+def residue_counts(sequence: Column) -> Column:
+    """Array with the number of each residue of ``RESIDUES``."""
+    return F.array(*[F.length(sequence) - F.length(F.replace(sequence, F.lit(r), F.lit(""))) for r in RESIDUES])
+
+
+# Halvings of the range 0 to 14 of the acidity, and the middle of what is left of it.
+HALVINGS = [14.0 / 2**i for i in range(1, 41)]
+LAST_HALF = 14.0 / 2**41
 
 
-def _isoelectric_points(sequences: pd.Series) -> pd.Series:
-    known = sequences.dropna()
-    known = known[known.str.len() > 0]
-    counts = {r: known.str.count(r).to_numpy(float) for r in (*PK_POSITIVE, *PK_NEGATIVE)}
-    n_pk = known.str[0].map(PK_N_TERMINUS_BY_RESIDUE).fillna(PK_N_TERMINUS).to_numpy(float)
-    c_pk = known.str[-1].map(PK_C_TERMINUS_BY_RESIDUE).fillna(PK_C_TERMINUS).to_numpy(float)
-    low, high = np.zeros(len(known)), np.full(len(known), 14.0)
-    for _ in range(40):
-        ph = (low + high) / 2
-        charge = _side_chain_charge(counts, ph)
-        charge += 1.0 / (1.0 + 10.0 ** (ph - n_pk)) - 1.0 / (1.0 + 10.0 ** (c_pk - ph))
-        low, high = np.where(charge > 0, ph, low), np.where(charge > 0, high, ph)
-    return pd.Series((low + high) / 2, index=known.index).reindex(sequences.index)
+def isoelectric_point(sequence: Column, counts: Column) -> Column:
+    """Theoretical pI by bisection of the charge at an acidity; NULL for empty sequences."""
 
+    def of_end(end: Column, by_residue: dict[str, float], other: float) -> Column:
+        found = F.lit(other)
+        for residue, pk in by_residue.items():
+            found = F.when(end == residue, pk).otherwise(found)
+        return found
 
-def isoelectric_point(sequence: Column | str) -> Column:
-    """Theoretical pI by bisection, whole Arrow batches at a time; NULL for empty sequences."""
+    n_pk = of_end(F.left(sequence, F.lit(1)), PK_N_TERMINUS_BY_RESIDUE, PK_N_TERMINUS)
+    c_pk = of_end(F.right(sequence, F.lit(1)), PK_C_TERMINUS_BY_RESIDUE, PK_C_TERMINUS)
 
-    @F.pandas_udf(T.DoubleType())
-    def points(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield _isoelectric_points(batch)
+    def charge(ph: Column, facts: Column) -> Column:
+        def share(exponent: Column) -> Column:
+            return F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), exponent))
 
-    return points(as_col(sequence))
+        terms = [facts["n"][RESIDUES.index(r)] * share(ph - F.lit(pk)) for r, pk in PK_POSITIVE.items()]
+        terms += [-facts["n"][RESIDUES.index(r)] * share(F.lit(pk) - ph) for r, pk in PK_NEGATIVE.items()]
+        return sum([*terms[1:], share(ph - facts["first"]), -share(facts["last"] - ph)], terms[0])
+
+    def halve(state: Column, half: Column) -> Column:
+        higher = state["low"] + half
+        return state.withField("low", F.when(charge(higher, state) > 0, higher).otherwise(state["low"]))
+
+    start = F.struct(F.lit(0.0).alias("low"), counts.alias("n"), n_pk.alias("first"), c_pk.alias("last"))
+    found = F.aggregate(F.array(*map(F.lit, HALVINGS)), start, halve, lambda state: state["low"] + F.lit(LAST_HALF))
+    return F.when(F.length(sequence) > 0, found)
 
 
 def with_protein_properties(df: DataFrame, sequence: str = "sequence") -> DataFrame:
@@ -130,13 +129,7 @@ def with_protein_properties(df: DataFrame, sequence: str = "sequence") -> DataFr
     raw = F.rtrim(F.upper(F.col(sequence)), F.lit("*"))
     standard = F.regexp_replace(raw, f"[^{RESIDUES}]", "")
     n = F.length("_standard").cast("double")
-    free_mass = sum(
-        (
-            (F.length("_standard") - F.length(F.replace(F.col("_standard"), F.lit(residue), F.lit("")))) * F.lit(mass)
-            for residue, mass in AMINO_ACID_MASS.items()
-        ),
-        F.lit(0.0),
-    )
+    free_mass = sum((F.col("_counts")[RESIDUES.index(r)] * F.lit(mass) for r, mass in AMINO_ACID_MASS.items()), F.lit(0.0))
     status = (
         F.when(n == 0, F.lit("NO_STANDARD_RESIDUES"))
         .when(F.length("_standard") != F.length(raw), F.lit("NON_STANDARD_RESIDUES_REMOVED"))
@@ -144,10 +137,11 @@ def with_protein_properties(df: DataFrame, sequence: str = "sequence") -> DataFr
     )
     return (
         df.withColumn("_standard", standard)
+        .withColumn("_counts", residue_counts(F.col("_standard")))
         .withColumn("molecular_weight_da", F.when(n > 0, free_mass - (n - 1) * F.lit(WATER_MASS)))
-        .withColumn("theoretical_pi", isoelectric_point("_standard"))
+        .withColumn("theoretical_pi", isoelectric_point(F.col("_standard"), F.col("_counts")))
         .withColumn("protein_property_qc", status)
-        .drop("_standard")
+        .drop("_standard", "_counts")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladegrid.functions.scalars import numbers_of, strip
-from cladegrid.functions.stats import chi_square_p, rank_sum_p
+from cladegrid.functions.stats import EXACT_SIDE, chi_square_p, rank_sum_normal, rank_sum_tails
 from cladegrid.operators.cumulative import adjusted_p_values, quantiles, rank_table, running_before, value_counts
 from cladegrid.operators.expect import conflicting_assignments, duplicate_keys, union_all
 from cladegrid.operators.grid import complete, pair_blocks, with_listed
@@ -181,11 +181,19 @@ class GroupComparison:
         tested = (F.col("_status") == "PASS") & (F.col("global_p_value") < F.lit(self.alpha))
         status = F.when(few, "INSUFFICIENT_GROUP_UNITS").when(tested, "PASS").otherwise("SKIPPED_GLOBAL_NOT_SIGNIFICANT")
         warning = F.when(few, "INSUFFICIENT_SPECIES_REPLICATION").otherwise(F.col("_warning"))
-        result = result.withColumns({"test_status": status, "inference_warning": warning}).withColumn(
-            "_p", rank_sum_p("u_statistic", "n_units_1", "n_units_2", "_ties")
-        )
-        # one row per pair of groups; kept, as the adjustment starts from it several times
-        result = cut_lineage(result.withColumn("p_value", F.when(F.col("test_status") == "PASS", F.col("_p"))))
+        result = result.withColumns({"test_status": status, "inference_warning": warning})
+        small, large = F.least("n_units_1", "n_units_2"), F.greatest("n_units_1", "n_units_2")
+        exact = (small <= EXACT_SIDE) & (F.col("_ties") == 0) & (F.col("test_status") == "PASS")
+        # one row per pair of groups; kept, as what follows starts from it several times
+        result = cut_lineage(result.withColumns({"_m": F.when(exact, small), "_n": F.when(exact, large)}))
+        # sizes that occur with small groups and no ties have their whole table of tails, once for all pairs
+        tails = rank_sum_tails(result.where("_m is not null").select(F.col("_m").alias("m"), F.col("_n").alias("n")).distinct())
+        u, m, n = F.col("u_statistic"), F.col("n_units_1"), F.col("n_units_2")
+        larger = F.greatest(u, m * n - u).cast("long")
+        met = (F.col("_m") == F.col("m")) & (F.col("_n") == F.col("n")) & (larger == F.col("u"))
+        p_value = F.when(F.col("_m").isNotNull(), F.col("p")).otherwise(rank_sum_normal(u, m, n, F.col("_ties")))
+        result = result.join(tails, met, "left").withColumn("p_value", F.when(F.col("test_status") == "PASS", p_value))
+        result = cut_lineage(result.drop("_m", "_n", "m", "n", "u", "p"))
         adjusted = adjusted_p_values(result, ["metric"], "p_value", "p_adjusted_bh")
         effect = F.lit(2.0) * F.col("u_statistic") / (F.col("n_units_1") * F.col("n_units_2")) - F.lit(1.0)
         return adjusted.select(

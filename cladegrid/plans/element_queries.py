@@ -113,15 +113,21 @@ def element_distribution_quality(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {HITS_SQL}, w AS (SELECT doc_id, element, CASE element WHEN 'L1' THEN 'short' WHEN 'L2' THEN 'short' WHEN 'L12' THEN 'long' ELSE 'Unclassified' END AS major_class,
+WITH {HITS_SQL}, w AS (SELECT doc_id, element, CASE element WHEN 'L1' THEN 'short' WHEN 'L2' THEN 'short' ELSE CASE WHEN substr(element, 2)::INT >= 12 THEN 'long' ELSE 'Unclassified' END END AS major_class,
   CASE element WHEN 'L1' THEN 'one' ELSE element END AS subclass FROM hits)
 SELECT doc_id, major_class, subclass, element, count(*) AS element_count FROM w GROUP BY ALL
 """)
 def element_counts(t: Tables) -> DataFrame:
-    """Hits per document, class and element after the category map; unmapped elements are Unclassified."""
-    rows = [("L1", "short", "one"), ("L2", "short", None), ("L12", "long", None)]  # fixed values: the map
+    """Hits per document, class and element after the category map; unmapped elements are Unclassified.
+
+    The map calls one or two letters short and twelve or more long.
+    """
+    hits = word_hits(t).select("doc_id", "element")
+    rows = [("L1", "short", "one"), ("L2", "short", None)]  # fixed values: the short part of the map
     categories = t.spark.createDataFrame(rows, "element string, major_class string, subclass string")
-    classed = evidence.classify_elements(word_hits(t).select("doc_id", "element"), categories)
+    long = hits.select("element").distinct().where(F.substr("element", F.lit(2)).cast("int") >= 12)
+    categories = categories.unionByName(long.select("element", F.lit("long").alias("major_class"), F.lit(None).cast("string").alias("subclass")))
+    classed = evidence.classify_elements(hits, categories)
     filled = classed.withColumn("subclass", F.coalesce("subclass", "element"))
     return filled.groupBy("doc_id", "major_class", "subclass", "element").agg(F.count("*").alias("element_count"))
 
@@ -154,19 +160,23 @@ _LENGTHS = [f"L{i}" for i in range(1, 13)]
 
 
 @query(f"""
-WITH {LEVELS_SQL} SELECT cell_id, {", ".join(f"coalesce(max(hit_count::DOUBLE) FILTER (element = '{e}'), 0) AS {e}" for e in _LENGTHS)}
+WITH {LEVELS_SQL} SELECT cell_id, {", ".join(f"coalesce(max(hit_count::DOUBLE) FILTER (element = '{e}'), 0) AS {e}" for e in _LENGTHS)},
+  coalesce(sum(hit_count) FILTER (element NOT IN ({", ".join(f"'{e}'" for e in _LENGTHS)})), 0)::DOUBLE AS longer
 FROM grid WHERE aggregation_level = 'SPECIES_SUBFAMILY' GROUP BY cell_id
 """)
 def level_matrix(t: Tables) -> DataFrame:
+    """A column for each of twelve word lengths, and one for all longer words."""
     cells = elements_of_texts(t).distribution().where("aggregation_level = 'SPECIES_SUBFAMILY'")
-    return distribution.ordered_matrix(cells, "cell_id", "element", "hit_count", _LENGTHS, fill=0.0)
+    column = F.when(F.col("element").isin(_LENGTHS), F.col("element")).otherwise("longer")
+    summed = cells.groupBy("cell_id", column.alias("element")).agg(F.sum("hit_count").alias("hit_count"))
+    return distribution.ordered_matrix(summed, "cell_id", "element", "hit_count", [*_LENGTHS, "longer"], fill=0.0)
 
 
 @query(f"""
 WITH {LEVELS_SQL} SELECT cell_id, element, hit_count FROM grid WHERE aggregation_level = 'SPECIES_SUBFAMILY'
 """)
 def level_matrix_long(t: Tables) -> DataFrame:
-    """The whole matrix, a row for each cell and element; ``level_matrix`` has the columns of its SQL, L1 to L12."""
+    """The whole matrix, a row for each cell and element."""
     return elements_of_texts(t).distribution().where("aggregation_level = 'SPECIES_SUBFAMILY'").select("cell_id", "element", "hit_count")
 
 
@@ -243,11 +253,33 @@ def sequence_mass(t: Tables) -> DataFrame:
     return rounded(found.select("doc_id", "molecular_weight_da", "protein_property_qc"))
 
 
-@query()
+def _end_sql(end: str, by_residue: dict[str, float], other: float) -> str:
+    return "CASE " + end + "".join(f" WHEN '{r}' THEN {pk}" for r, pk in by_residue.items()) + f" ELSE {other} END::DOUBLE"
+
+
+def _count_sql(residue: str) -> str:
+    return f"(length(clean) - length(replace(clean, '{residue}', '')))"
+
+
+_CHARGE_SQL = " ".join(
+    [f"+ {_count_sql(r)} / (1 + pow(10, low + half - {pk}))" for r, pk in sequences.PK_POSITIVE.items()]
+    + [f"- {_count_sql(r)} / (1 + pow(10, {pk} - low - half))" for r, pk in sequences.PK_NEGATIVE.items()]
+)
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, rtrim(upper(replace(text, 'ß', 'SS')), '*') AS raw, regexp_replace(rtrim(upper(replace(text, 'ß', 'SS')), '*'), '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') AS clean FROM documents),
+e AS (SELECT *, {_end_sql("clean[1]", sequences.PK_N_TERMINUS_BY_RESIDUE, sequences.PK_N_TERMINUS)} AS n_pk, {_end_sql("clean[-1]", sequences.PK_C_TERMINUS_BY_RESIDUE, sequences.PK_C_TERMINUS)} AS c_pk FROM s)
+SELECT doc_id, CASE WHEN clean <> '' THEN round({_FREE_MASS} - (length(clean) - 1) * 18.0153::DOUBLE, 6) END AS molecular_weight_da,
+       CASE WHEN clean <> '' THEN round({sequences.LAST_HALF}::DOUBLE + list_reduce(list_prepend(0::DOUBLE, {sequences.HALVINGS}::DOUBLE[]),
+         lambda low, half: CASE WHEN 0::DOUBLE {_CHARGE_SQL} + 1 / (1 + pow(10, low + half - n_pk)) - 1 / (1 + pow(10, c_pk - low - half)) > 0 THEN low + half ELSE low END), 6) END AS theoretical_pi,
+       CASE WHEN clean = '' THEN 'NO_STANDARD_RESIDUES' WHEN length(clean) <> length(raw) THEN 'NON_STANDARD_RESIDUES_REMOVED' ELSE 'PASS' END AS protein_property_qc
+FROM e
+""")
 def sequence_properties(t: Tables) -> DataFrame:
-    """With the isoelectric point, found by bisection and therefore without an SQL form."""
+    """With the isoelectric point."""
     found = sequences.with_protein_properties(t.documents.select("doc_id", "text"), "text")
-    return rounded(found.drop("text"), 3)
+    return rounded(found.drop("text"))
 
 
 _CODON_SQL = "map([" + ", ".join(f"'{a}{b}{c}'" for a in "TCAG" for b in "TCAG" for c in "TCAG") + "], [" + ", ".join(

@@ -114,13 +114,14 @@ def membership_from_wide(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, p_brand, p_type, 'NOT_SOLD_RETURNED_BELOW_TWO' AS reason, 'PART' AS orthology_group_type FROM part
-WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity < 2)
+SELECT p_partkey, p_brand, p_type, 'LEADS_NO_SUPPLIER' AS reason, 'PART' AS orthology_group_type FROM part
+WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_partkey) = 1)
 """)
 def unassigned_parts(t: Tables) -> DataFrame:
-    assigned = t.lineitem.where("l_returnflag = 'R' AND l_quantity < 2").select(F.col("l_partkey").alias("p_partkey"))
-    labels = {"reason": "NOT_SOLD_RETURNED_BELOW_TWO", "orthology_group_type": "PART"}
-    return joins.unassigned_rows(t.part.select("p_partkey", "p_brand", "p_type"), assigned, "p_partkey", labels)
+    """Parts that are not the dearest of any supplier, over all lines."""
+    dearest = t.lineitem.groupBy("l_suppkey").agg(F.max(F.struct("l_extendedprice", (-F.col("l_partkey")).alias("part")))["part"].alias("part"))
+    labels = {"reason": "LEADS_NO_SUPPLIER", "orthology_group_type": "PART"}
+    return joins.unassigned_rows(t.part.select("p_partkey", "p_brand", "p_type"), dearest.select((-F.col("part")).alias("p_partkey")), "p_partkey", labels)
 
 
 @query("""
@@ -415,9 +416,9 @@ def pair_strata_and_flags(t: Tables) -> DataFrame:
 
 
 _PAIR_LONG_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS stratification, {column} AS stratum, '{m}' AS metric, {m} AS v FROM p"
+    f"SELECT '{name}' AS stratification, {column} AS stratum, '{m}' AS metric, CASE WHEN isfinite({m}) THEN {m} END AS v FROM p"
     for name, column in (("UNIT", "unit_stratum"), ("BAND", "band_stratum"))
-    for m in ("Ka", "Ks")
+    for m in ("Ka", "Ks", "Ka_Ks")
 )
 
 
@@ -429,8 +430,12 @@ SELECT stratification, stratum, metric, count(v) AS n_pairs, round(quantile_cont
 FROM l GROUP BY ALL
 """)
 def pair_strata_summary(t: Tables) -> DataFrame:
+    """All three metrics; a ratio to zero is infinite and counts as missing."""
+    from cladegrid.functions.scalars import is_finite
+
     strata = {"UNIT": "unit_stratum", "BAND": "band_stratum"}
-    return rounded(pairs.summarize_strata(stratified_pairs(t), strata, ("Ka", "Ks")))
+    finite = stratified_pairs(t).withColumn("Ka_Ks", F.when(is_finite("Ka_Ks"), F.col("Ka_Ks")))
+    return rounded(pairs.summarize_strata(finite, strata, ("Ka", "Ks", "Ka_Ks")))
 
 
 @query(f"""

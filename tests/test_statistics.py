@@ -41,12 +41,23 @@ def test_rank_sum_counts_by_enumeration(m, n):
     assert list(stats.rank_sum_counts(m, n)) == counts
 
 
-def test_rank_sum_p_values():
-    assert stats.rank_sum_exact(0, 4, 4) == pytest.approx(2 / math.comb(8, 4))
-    assert stats.rank_sum_exact(8, 4, 4) == 1.0
+def test_rank_sum_p_values(spark):
+    assert stats.rank_sum_tail(4, 4)[16] == pytest.approx(2 / math.comb(8, 4))
+    assert stats.rank_sum_tail(4, 4)[8] == 1.0
+    found = {(r.m, r.n, r.u): r.p for r in stats.rank_sum_tails(spark.createDataFrame([(3, 5), (8, 9)], "m long, n long")).collect()}
+    assert found[3, 5, 15] == pytest.approx(2 / math.comb(8, 3)) and found[8, 9, 72] == pytest.approx(2 / math.comb(17, 8))
+    assert len(found) == 9 + 37
     # published example: U = 25 of 10 x 10 without ties
-    assert stats.rank_sum_normal(25.0, 10, 10, 0.0) == pytest.approx(0.064022, abs=1e-5)
-    assert stats.rank_sum_normal(50.0, 10, 10, 0.0) == 1.0
+    rows = [(25.0, 10, 10, 0.0), (50.0, 10, 10, 0.0), (0.0, 3, 3, 210.0)]
+    p = [r.p for r in spark.createDataFrame(rows, "u double, m long, n long, t double").select(stats.rank_sum_normal(*map(F.col, "umnt")).alias("p")).collect()]
+    assert p[0] == pytest.approx(0.064022, abs=1e-5) and p[1] == p[2] == 1.0
+
+
+def test_normal_tail(spark):
+    z = [-1.0, 0.0, 1e-9, 0.3, 1.0, 3.5, 3.54, 8.0, 20.0]
+    found = spark.createDataFrame([(v,) for v in z], "z double").select("z", stats.normal_tail(F.col("z")).alias("p")).collect()
+    for r in found:
+        assert r.p == pytest.approx(min(1.0, math.erfc(r.z / math.sqrt(2))), rel=1e-12)
 
 
 def separated(spark):
