@@ -68,23 +68,6 @@ def translate_codons(cds: Column | str, unknown: str = "X") -> Column:
     return F.array_join(F.transform(codons, residue), "")
 
 
-def spliced_cds(segments: DataFrame, genome: DataFrame, transcript: str = "transcript_id") -> DataFrame:
-    """Coding sequence and protein per transcript from CDS segments and genome sequences.
-
-    Each segment cuts its own piece out of the chromosome inside the join stage, so a chromosome is
-    never shuffled again; the pieces of one transcript are then concatenated in coordinate order.
-    """
-    pieces = segments.join(genome.withColumnRenamed("seq_id", "seqid"), "seqid").select(
-        transcript, "strand", "start", closed_substring("sequence", "start", "end").alias("_piece")
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("start", "_piece")))
-    joined = pieces.groupBy(transcript, "strand").agg(
-        F.array_join(F.transform(ordered, lambda s: s["_piece"]), "").alias("_plus")
-    )
-    cds = F.when(F.col("strand") == "-", reverse_complement("_plus")).otherwise(F.col("_plus"))
-    return joined.select(transcript, cds.alias("cds")).withColumn("protein", translate_codons("cds"))
-
-
 def residue_counts(sequence: Column) -> Column:
     """Array with the number of each residue of ``RESIDUES``."""
     return F.array(*[F.length(sequence) - F.length(F.replace(sequence, F.lit(r), F.lit(""))) for r in RESIDUES])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladegrid.functions import scalars, sequences
-from cladegrid.operators import distribution, evidence, expect, intervals, ranking
+from cladegrid.operators import distribution, evidence, expect, intervals, ranking, tiles
 from cladegrid.plans.registry import Tables, query, rounded
-from cladegrid.sources import gff, hits
+from cladegrid.session import shared_folder
+from cladegrid.sources import fasta, gff, hits
 
 # Aggregation levels and the labels each needs.
 LEVELS = {
@@ -364,3 +367,48 @@ def namespace_overlap(t: Tables) -> DataFrame:
         "SUPPLIER": t.supplier.select(F.col("s_suppkey").alias("id")),
     }
     return expect.namespace_overlap(tables, "id")
+
+
+def _scratch(t: Tables, name: str) -> str:
+    """A new folder in the shared folder of the session."""
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def letter_tiles(t: Tables, width: int) -> DataFrame:
+    """The letters of every text as a sequence file of many parts, written and read back in tiles."""
+    folder = _scratch(t, "letters")
+    letters = F.regexp_replace(F.upper(F.coalesce("text", F.lit(""))), "[^A-Z]", "")
+    fasta.write_fasta(t.documents.select(F.concat(F.lit("d"), F.col("doc_id")).alias("seq_id"), letters.alias("sequence")), folder)
+    return tiles.read_tiles(t.spark, folder, width)
+
+
+_LETTERS_SQL = "s AS (SELECT doc_id, regexp_replace(upper(replace(text, 'ß', 'SS')), '[^A-Z]', '', 'g') AS q FROM documents)"
+
+
+@query(f"""
+WITH {_LETTERS_SQL}, w AS (SELECT doc_id, q, length(q) // 2 - 700 AS a, length(q) // 2 + 900 AS b FROM s)
+SELECT doc_id, greatest(a, 1) AS first, CASE WHEN greatest(a, 1) <= least(b, length(q)) THEN substring(q, greatest(a, 1), least(b, length(q)) - greatest(a, 1) + 1) END AS piece FROM w
+""")
+def tiled_windows(t: Tables) -> DataFrame:
+    """1,600 letters around the middle of every text, cut from tiles of a thousand that were written and read back."""
+    width = 1000
+    read = letter_tiles(t, width).select(F.substr("seq_id", F.lit(2)).cast("long").alias("doc_id"), "tile", "residues")
+    lengths = t.documents.select("doc_id").join(tiles.tile_lengths(read, ["doc_id"], width), "doc_id", "left")
+    middle = F.floor(F.coalesce("length", F.lit(0)) / 2)
+    windows = lengths.select("doc_id", (middle - 700).alias("start"), (middle + 900).alias("end"))
+    cut = tiles.cut_intervals(windows, read, ["doc_id"], width=width)
+    return cut.select("doc_id", F.greatest("start", F.lit(1).cast("long")).alias("first"), "piece")
+
+
+@query(f"""
+WITH {_LETTERS_SQL}, c AS (SELECT doc_id, substring(q, 1, 90) || substring(q, 950, 151) || substring(q, 2001, 60) AS plus FROM s WHERE q <> '')
+SELECT doc_id, length(plus) AS cds_length, sha256(CASE WHEN doc_id % 2 = 0 THEN plus ELSE reverse(translate(plus, 'ACGTRYMKBDHVN', 'TGCAYRKMVHDBN')) END) AS cds_sha256 FROM c
+""")
+def tiled_splices(t: Tables) -> DataFrame:
+    """Three segments of every text's letters, one of them over a tile border, put together on their strand."""
+    read = letter_tiles(t, 1000).withColumnRenamed("seq_id", "seqid")
+    parts = F.array(*[F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end")) for a, b in ((2001, 2060), (1, 90), (950, 1100))])
+    strand = F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-")
+    segments = t.documents.select(F.col("doc_id").alias("transcript_id"), F.concat(F.lit("d"), F.col("doc_id")).alias("seqid"), strand.alias("strand"), F.inline(parts))
+    cds = tiles.spliced_from_tiles(segments, read, ["seqid"], width=1000)
+    return cds.select(F.col("transcript_id").alias("doc_id"), F.length("cds").cast("long").alias("cds_length"), F.sha2(F.col("cds").cast("binary"), 256).alias("cds_sha256"))

@@ -18,8 +18,8 @@ from cladegrid.functions.scalars import (
     stable_key,
     substitution_flags,
 )
-from cladegrid.functions.sequences import closed_substring, spliced_cds, with_protein_properties
-from cladegrid.operators import describe, distribution, evidence, expect, expression, intervals, joins, occupancy, pairs, ranking, rarefaction
+from cladegrid.functions.sequences import closed_substring, reverse_complement, with_protein_properties
+from cladegrid.operators import describe, distribution, evidence, expect, expression, intervals, joins, occupancy, pairs, ranking, rarefaction, tiles
 from cladegrid.operators.expect import TRANSCRIPT_FEATURES, enforce, require_columns
 from cladegrid.operators.grouptests import GroupComparison
 from cladegrid.sources.groups import GroupSource, provenance
@@ -119,8 +119,8 @@ def canonical_map(
 ) -> DataFrame:
     """One row per gene with coordinates and sequence lengths.
 
-    ``species``: ``file, species_id, species_name, group, species_subfamily``; ``genome``: ``seq_id,
-    sequence`` with names unique over all files of the call.
+    ``species``: ``file, species_id, species_name, group, species_subfamily``; ``genome``: ``seq_id``
+    with ``tile, residues`` or ``sequence``, and names unique over all files of the call.
     """
     kind = F.lower("feature")
     genes = features.where(kind == "gene").select(
@@ -134,7 +134,8 @@ def canonical_map(
     own = parts.join(selected.select("file", "transcript_id"), ["file", "transcript_id"], "left_semi")
     exons = own.where("_kind = 'exon'").groupBy("file", "transcript_id").agg(F.sum(closed_length("start", "end")).alias("transcript_length"))
     segments = own.where("_kind = 'cds'").withColumn("_id", F.concat_ws("\t", "file", "transcript_id"))
-    coding = spliced_cds(segments, genome, "_id").select(
+    tiled = genome if "tile" in genome.columns else tiles.tile_sequences(genome, ["seq_id"])
+    coding = tiles.spliced_from_tiles(segments, tiled.withColumnRenamed("seq_id", "seqid"), ["seqid"], "_id").select(
         F.substring_index("_id", "\t", 1).alias("file"),
         F.substring_index("_id", "\t", -1).alias("transcript_id"),
         F.length(F.rtrim("protein", F.lit("*"))).cast("long").alias("protein_length"),
@@ -404,14 +405,17 @@ def promoters(
 ) -> tuple[DataFrame, DataFrame]:
     """(coordinates with overlapping genes, sequences).
 
-    ``genome``: ``species_id, chromosome, sequence``; ``genes``: ``species_id, chromosome, gene_id,
-    start, end``. A chromosome's sequence is cut in the join stage and dropped before anything moves.
+    ``genome``: ``species_id, chromosome`` and either ``tile, residues`` (tiles of the standard width)
+    or ``sequence``, which is cut into tiles; ``genes``: ``species_id, chromosome, gene_id, start, end``.
     """
     own = canonical.join(members.select("stable_id"), "stable_id", "left_semi")
     items = own.select("species_id", "gene_id", "stable_id", "chromosome", "gene_start", "gene_end", "strand")
-    known = genome.withColumn("length", F.length("sequence").cast("long"))
-    windows = intervals.start_windows(items, known, upstream, downstream, ["species_id", "chromosome"])
-    cut = windows.withColumn("promoter", intervals.window_sequence("sequence")).drop("sequence")
+    place = ["species_id", "chromosome"]
+    tiled = genome if "tile" in genome.columns else tiles.tile_sequences(genome, place)
+    windows = intervals.start_windows(items, tiles.tile_lengths(tiled, place), upstream, downstream, place)
+    cut = tiles.cut_intervals(windows, tiled, place, "window_start", "window_end", name="plus")
+    plus = F.when(F.col("window_start").isNotNull(), F.coalesce("plus", F.lit("")))
+    cut = cut.withColumn("promoter", F.when(F.col("strand") == "-", reverse_complement(plus)).otherwise(plus)).drop("plus")
     place = F.concat_ws("\t", "species_id", "chromosome")
     usable = cut.where("window_start is not null").select("stable_id", "gene_id", place.alias("place"), F.col("window_start").alias("start"), F.col("window_end").alias("end"))
     others = genes.select(place.alias("place"), "gene_id", "start", "end")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladegrid.sources.fasta import local_path
+from cladegrid.sources import ranges
 
 
 def write_tsv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
@@ -22,35 +21,28 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def _listing(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
-    """Sizes of existing files at or below paths, from the file system's listing."""
-    found: dict[str, int] = {}
-    for text in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(text)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        listing = fs.listFiles(path, True) if fs.exists(path) else None
-        while listing is not None and listing.hasNext():
-            status = listing.next()
-            found[re.sub("^file:/+", "/", status.getPath().toString())] = status.getLen()
-    return found
+def _exists(spark: SparkSession, text: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def read_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Size and sha256 of files, hashed where they are read; one task handles whole files.
+def file_facts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``path, size_bytes, sha256, n_lines, n_records, n_content_lines, first_line`` of files at or below paths.
 
-    The binary reader leaves out empty files, hence the listing as the other side.
+    Each file is read once, in blocks, by one task, as a digest must; a file of any size fits.
     """
+    ranges.register(spark)
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.format("file_facts").option("paths", "\n".join(paths)).load()
+
+
+def read_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Size and sha256 of the existing files at or below paths, hashed where they are read."""
     paths = [path] if isinstance(path, str) else list(path)
-    sizes = _listing(spark, paths)
-    listed = spark.createDataFrame(list(sizes.items()), "path string, size_bytes long")
-    filled = [p for p, size in sizes.items() if size > 0]
-    if not filled:
-        return listed.withColumn("sha256", F.sha2(F.lit("").cast("binary"), 256))
-    raw = spark.read.format("binaryFile").load(filled)
-    hashed = raw.select(local_path("path").alias("path"), F.sha2("content", 256).alias("sha256"))
-    joined = listed.join(hashed, "path", "left")
-    nothing = F.sha2(F.lit("").cast("binary"), 256)
-    return joined.withColumn("sha256", F.when(F.col("size_bytes") == 0, nothing).otherwise(F.col("sha256")))
+    present = [p for p in paths if _exists(spark, p)]
+    if not present:
+        return spark.createDataFrame([], "path string, size_bytes long, sha256 string")
+    return file_facts(spark, present).select("path", "size_bytes", "sha256")
 
 
 def result_manifest(spark: SparkSession, directory: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from conftest import by, rows
 
 from cladegrid.functions import sequences
+from cladegrid.operators import tiles
 from cladegrid.plans import genomics
 from cladegrid.sources import delimited, fasta, gff, hits, sinks
 
@@ -114,7 +115,7 @@ def test_canonical_map_with_sequences(spark, folder):
     assert (found["Sp__P"]["cds_length"], found["Sp__P"]["protein_length"], found["Sp__P"]["cds_modulo_3"]) == (9, 2, 0)
     assert (found["Sp__M"]["strand"], found["Sp__M"]["protein_length"], found["Sp__M"]["transcript_length"]) == ("-", 2, 9)
     segments = table.where("feature = 'CDS'").withColumnRenamed("parent", "transcript_id")
-    proteins = by(sequences.spliced_cds(segments, genome), "transcript_id")
+    proteins = by(tiles.spliced_from_tiles(segments, tiles.tile_sequences(genome.withColumnRenamed("seq_id", "seqid"), ["seqid"], width=4), ["seqid"], width=4), "transcript_id")
     assert (proteins["P.1"]["cds"], proteins["P.1"]["protein"]) == ("ATGAAATAA", "MK*")
     assert (proteins["M.1"]["cds"], proteins["M.1"]["protein"]) == ("ATGATGTAA", "MM*")
 
