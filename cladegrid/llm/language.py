@@ -1,13 +1,13 @@
 """Language identification, words first: log frequencies of known words, shorter and shorter n-grams for the others.
 
-The model holds per-language log frequencies of the commonest words and character n-grams of a labelled sample. A known
+The model holds per-language log frequencies of the words and character n-grams of a labelled sample. A known
 word adds its log frequencies; an unseen word adds the mean over its known n-grams of the longest length at which it
 has any, from ``LONGEST`` characters down to one. The language with the largest sum is the prediction, its share of the
 exponentials the score.
 
-Model bounds (documented parameters): about ``sample_rows`` different texts per language, chosen by a hash of the text,
-``most_words`` words and ``most_grams`` n-grams. That bounds what is collected and broadcast, whatever the corpus size.
-Counting runs on Spark; every text is predicted whole.
+Model bound (documented parameter): about ``sample_rows`` different texts per language, chosen by a hash of the text.
+That bounds what is collected and broadcast, whatever the corpus size; every word and n-gram of the sample is kept.
+Counting runs on Spark, n-grams are counted from the counted words, and every text is predicted whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; rows with a null label or text are not
 learned from; without any labelled row every text is ``und``. Of equal languages the first by name wins.
@@ -29,11 +29,11 @@ from cladegrid.session import cut_lineage
 
 LONGEST = 5
 SAMPLE_ROWS = 3000
-MOST_WORDS = 50_000
-MOST_GRAMS = 100_000
 UNDETERMINED = "und"
 # Unseen words remembered by a worker; only speed depends on it.
 REMEMBERED = 100_000
+# Tokens a task counts before it hands them on, so that long texts need no more memory.
+COUNTED = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -41,6 +41,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 def words_of(text: str | None) -> Counter:
     """Counts of the lower-cased words (runs of letters) of a text."""
     found = Counter(_WORD.findall(text.lower())) if text else Counter()
+    if not found or "".join(found).isalpha():
+        return found
     for word in [w for w in found if not w.isalpha()]:  # numerals such as superscripts are no letters
         n = found.pop(word)
         for piece in "".join(c if c.isalpha() else " " for c in word).split():
@@ -79,63 +81,87 @@ class Predictor:
         counts = words_of(text)
         if not counts or not self.model.languages:
             return UNDETERMINED, 0.0
-        known, times, total = [], [], np.zeros(len(self.model.languages))
-        lookup, seen = self.model.words.get, self.seen
-        for word, n in counts.items():
-            at = lookup(word)
-            if at is not None:
-                known.append(at)
-                times.append(n)
-                continue
-            logs = seen.get(word)
-            if logs is None:
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                logs = seen[word] = self.model.unseen(word)
-            total += logs * n
-        if known:
-            total += np.array(times, float) @ self.model.word_logs[known]
+        places = list(map(self.model.words.get, counts))
+        times = np.fromiter(counts.values(), float, len(counts))
+        total = np.zeros(len(self.model.languages))
+        if None in places:
+            known = np.array([at is not None for at in places])
+            seen = self.seen
+            for word, at, n in zip(counts, places, times.tolist()):
+                if at is None:
+                    logs = seen.get(word)
+                    if logs is None:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        logs = seen[word] = self.model.unseen(word)
+                    total += logs * n
+            places, times = [at for at in places if at is not None], times[known]
+        if len(places):
+            total += times @ self.model.word_logs[places]
         best = int(np.argmax(total))
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _counted(rows: DataFrame, count, languages: list[str], most: int) -> DataFrame:
-    """(token, counts by language) of the ``most`` commonest tokens of rows (lang, text)."""
+def _word_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
+    """(token, counts by language) of the words of rows (lang, text)."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
         for batch in batches:
-            found: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for token, n in count(text).items():
+                for token, n in words_of(text).items():
                     found[lang, token] += n
-            columns = list(zip(*((lang, token, n) for (lang, token), n in found.items()))) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], names=["lang", "token", "n"])
+                if len(found) >= COUNTED:
+                    yield listed(found)
+                    found = Counter()
+        yield listed(found)
 
-    counted = rows.mapInArrow(tokens, "lang string, token string, n long")
-    by_language = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages)]
-    return counted.groupBy("token").agg(F.sum("n").alias("n"), *by_language).orderBy(F.desc("n"), "token").limit(most)
+    def listed(found: Counter) -> pa.RecordBatch:
+        columns = list(zip(*((lang, token, n) for (lang, token), n in found.items()))) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], names=["lang", "token", "n"])
 
+    by_language = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages)]
+    return rows.mapInArrow(tokens, "lang string, token string, n long").groupBy("token").agg(*by_language)
 
-def _grams(text: str) -> Counter:
-    found: Counter = Counter()
-    for word, n in words_of(text).items():
-        for length in range(1, LONGEST + 1):
-            for gram in grams_of(word, length):
-                found[gram] += n
-    return found
 
+def _gram_counts(words: DataFrame, languages: list[str]) -> DataFrame:
+    """(token, counts by language) of the n-grams of counted words."""
+    names = [f"n{i}" for i in range(len(languages))]
 
-def _logs(table, languages: list[str], groups: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    """Log relative frequencies within each group of tokens (n-grams of one length), smoothed by a half."""
-    counts = np.array([[r[f"n{i}"] for i in range(len(languages))] for r in table], float).reshape(-1, len(languages)) + 0.5
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, np.ndarray] = {}
+        for batch in batches:
+            counts = np.stack([batch.column(n).to_numpy() for n in names], 1)
+            for word, n in zip(batch.column("token").to_pylist(), counts):
+                for length in range(1, LONGEST + 1):
+                    for gram in grams_of(word, length):
+                        found[gram] = found[gram] + n if gram in found else n
+                if len(found) >= COUNTED:
+                    yield listed(found)
+                    found = {}
+        yield listed(found)
+
+    def listed(found: dict[str, np.ndarray]) -> pa.RecordBatch:
+        counts = np.array(list(found.values()), np.int64).reshape(-1, len(names))
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *(pa.array(counts[:, i]) for i in range(len(names)))], names=["token", *names])
+
+    counted = words.mapInArrow(tokens, ", ".join(["token string", *(f"{n} long" for n in names)]))
+    return counted.groupBy("token").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _logs(table: pa.Table, languages: list[str], by_length: bool) -> tuple[dict[str, int], np.ndarray]:
+    """Log relative frequencies, within the n-grams of one length where told so, smoothed by a half."""
+    tokens = table.column("token").to_pylist()
+    counts = np.stack([table.column(f"n{i}").to_numpy() for i in range(len(languages))], 1) + 0.5
+    groups = np.array([len(t) for t in tokens], int) if by_length else np.zeros(len(tokens), int)
     out = np.empty_like(counts)
     for group in np.unique(groups):
         chosen = groups == group
         out[chosen] = np.log(counts[chosen] / counts[chosen].sum(0))
-    return {r["token"]: i for i, r in enumerate(table)}, out
+    return {t: i for i, t in enumerate(tokens)}, out
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> Model:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from the rows with a label and a text."""
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null")
@@ -145,12 +171,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     if not languages:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     share = F.create_map(*[F.lit(x) for lang_ in languages for x in (lang_, sample_rows / sizes[lang_])])
-    # the sample is kept, as it is read twice
-    picked = cut_lineage(rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct())
-    words = _counted(picked, words_of, languages, most_words).collect()
-    grams = _counted(picked, _grams, languages, most_grams).collect()
-    lengths = np.array([len(r["token"]) for r in grams], int)
-    return Model(languages, *_logs(words, languages, np.zeros(len(words), int)), *_logs(grams, languages, lengths))
+    picked = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct()
+    # the counted words are kept, as they are read twice
+    words = cut_lineage(_word_counts(picked, languages))
+    ordered = [x.orderBy("token").toArrow() for x in (words, _gram_counts(words, languages))]
+    return Model(languages, *_logs(ordered[0], languages, False), *_logs(ordered[1], languages, True))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

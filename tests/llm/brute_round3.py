@@ -130,3 +130,35 @@ def personal(text):
             spans.append(("card", *m.span()))
     spans += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= sum(c in "0123456789" for c in m[0]) <= 15]
     return spans
+
+
+def languages(learned, texts, longest=5):
+    """(language, score) of texts, from rows (lang, text): words first, then shorter and shorter n-grams."""
+    import math
+
+    def words(text):
+        return Counter("".join(c if c.isalpha() else " " for c in (text or "").lower()).split())
+
+    def grams(word, length):
+        marked = f"<{word}>" if length > 1 else word
+        return [marked[i : i + length] for i in range(len(marked) - length + 1)]
+
+    langs = sorted({lang for lang, text in learned if lang is not None and text is not None})
+    counts = [defaultdict(lambda: [0.5] * len(langs)) for _ in range(longest + 1)]
+    for lang, text in {(lang, text) for lang, text in learned if lang in langs and text is not None}:
+        for word, n in words(text).items():
+            for length in range(longest + 1):
+                for token in grams(word, length) if length else [word]:
+                    counts[length][token][langs.index(lang)] += n
+    sums = [[sum(v[i] for v in table.values()) for i in range(len(langs))] for table in counts]
+    logs = [{t: [math.log(x / s) for x, s in zip(v, sums[k])] for t, v in table.items()} for k, table in enumerate(counts)]
+    out = []
+    for text in texts:
+        total = [0.0] * len(langs)
+        for word, n in words(text).items():
+            each = [logs[0][word]] if word in logs[0] else next((k for length in range(longest, 0, -1) if (k := [logs[length][g] for g in grams(word, length) if g in logs[length]])), [])
+            for i in range(len(langs)):
+                total[i] += n * sum(v[i] for v in each) / max(len(each), 1)
+        best = total.index(max(total)) if langs else 0
+        out.append((langs[best], 1 / sum(math.exp(t - total[best]) for t in total)) if words(text) and langs else ("und", 0.0))
+    return out

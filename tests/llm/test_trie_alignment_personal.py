@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute_round3 as brute
 
-from cladegrid.llm import alignment, personal, trie
+from cladegrid.llm import alignment, language, personal, trie
 
 TURNS = "conv_id long, turn long, role string, text string, key string, pos string"
 
@@ -174,3 +174,15 @@ def test_sampled_windows_are_bounded_and_repeat(spark):
     assert found[0] == found[1]
     kinds = [r[0] for r in found[0]]
     assert {kinds.count(k) for k in range(-1, 4)} == {10}
+
+
+def test_language_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, None, "en"), (-2, "", None), (-3, "zzzqqq unseenlike wörter", None), (-4, "x² 12 ¾", "fr"), (-5, "der der der la the", None)], docs.schema)
+    rows = docs.unionByName(odd)
+    model = language.fit(rows.where("doc_id % 5 <> 0"))
+    found = {r["row"]["doc_id"]: (r.lang_pred, r.score) for r in language.predict(rows, model, keep=["doc_id"]).collect()}
+    listed = [tuple(r) for r in rows.collect()]
+    expected = brute.languages([(lang, text) for i, text, lang in listed if int(i) % 5 or i < 0 and i % -5], [text for _, text, _ in listed])
+    for (i, _, _), (lang, score) in zip(listed, expected):
+        assert found[i][0] == lang and found[i][1] == pytest.approx(score, rel=1e-9, abs=1e-12)
