@@ -1,12 +1,12 @@
 """Mix sources to target weights: every document is repeated so that each source nears its share of the words.
 
 Tokens are summed per source, shares become repetition rates, and a document is emitted floor(rate) times plus one
-copy more with the fraction as probability. The coin is a hash of seed and document id, so reruns agree. Rows are
+copy more with the fraction as probability. The coin is a hash of seed, document id and text, so reruns agree. Rows are
 never gathered per source: the sums are combined on the map side, and the per-source table (a row a source) is joined
 back: by a broadcast if its row count is small enough, else with skewed sources split by the join.
 
-Defined cases: a null or blank text has size 0; a null source is a source of its own, the last; rows of one id get one
-coin, so repeated rows are copied alike; a null id is hashed as an empty string. An empty table gives an empty one.
+Defined cases: a null or blank text has size 0; a null source is a source of its own, the last; rows of one id
+and text get one coin, so repeated rows are copied alike; a null id or text is hashed as an empty string. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def coin(key: Column, seed: int) -> Column:
-    """A number in [0, 1) from the first 13 hexadecimal digits of an MD5 of seed and key."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+def coin(key: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) from the first 13 hexadecimal digits of an MD5 of seed, key and the MD5 of the text."""
+    own, content = (F.coalesce(c.cast("string"), F.lit("")) for c in (key, text))
+    text = F.concat(F.lit(f"{seed}:"), own, F.lit(":"), F.md5(content.cast("binary")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
@@ -70,15 +71,16 @@ def repeats(
     docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 7, weights: Sequence[float] = DEFAULT_WEIGHTS, most: int = MOST_REPEATS
 ) -> DataFrame:
     """Id, source and size of each document with ``source_size``, ``target``, ``rate`` and ``copies``, without texts."""
-    sizes = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), text_size(F.col(f"`{text}`")).alias("size"))
+    draw = coin(F.col(f"`{key}`"), F.col(f"`{text}`"), seed)
+    sizes = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), text_size(F.col(f"`{text}`")).alias("size"), draw.alias("coin"))
     targets = _small(source_targets(sizes, weights, most).withColumnRenamed("source", "of_source"))
     joined = sizes.join(targets, sizes["source"].eqNullSafe(targets["of_source"])).drop("of_source")
-    return joined.withColumn("copies", _copies(F.col("rate"), F.col("key"), seed))
+    return joined.withColumn("copies", _copies(F.col("rate"), F.col("coin"))).drop("coin")
 
 
-def _copies(rate: Column, key: Column, seed: int) -> Column:
+def _copies(rate: Column, drawn: Column) -> Column:
     whole = F.floor(rate)
-    return (whole + F.when(coin(key, seed) < rate - whole, 1).otherwise(0)).cast("long")
+    return (whole + F.when(drawn < rate - whole, 1).otherwise(0)).cast("long")
 
 
 def mix(
@@ -88,9 +90,9 @@ def mix(
 
     Only the per-source table is joined to the rows, so texts are not shuffled as long as that table is small.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{source}`").alias("source"), F.col(f"`{key}`").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{source}`").alias("source"), coin(F.col(f"`{key}`"), F.col(f"`{text}`"), seed).alias("coin"))
     sizes = docs.select(F.col(f"`{source}`").alias("source"), text_size(F.col(f"`{text}`")).alias("size"))
     targets = _small(source_targets(sizes, weights, most).select(F.col("source").alias("of_source"), "rate"))
     joined = rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
-    copies = joined.withColumn("copies", _copies(F.col("rate"), F.col("key"), seed)).where("copies > 0")
+    copies = joined.withColumn("copies", _copies(F.col("rate"), F.col("coin"))).where("copies > 0")
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
