@@ -7,7 +7,7 @@ component with a blocked url is blocked. An explicit allow rule of a url keeps p
 is allowed.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; a null page is without links; repeated
-pages are judged alike; of equally long rules the block wins, then the smaller text; links to urls that are no pages
+pages are judged alike; only http and https targets are links, dot segments are removed, a base element is not followed; of equally long rules the block wins, then the smaller text; links to urls that are no pages
 count; other columns are ignored.
 """
 
@@ -23,9 +23,10 @@ from cladegrid.llm.components import components
 # after the first "://": host, path, query
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
 LINK_TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
-CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
-REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+# an attribute has a blank (or a quote) before its name
+CANONICAL = r"(?is)[\s\"']rel\s*=\s*[\"']?canonical\b"
+REFRESH = r"(?is)[\s\"']http-equiv\s*=\s*[\"']?refresh\b"
+HREF = r"(?is)[\s\"']href\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
 
@@ -41,14 +42,35 @@ def node_of(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, query))
 
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+ABSOLUTE = r"(?i)^https?://"
+
+
+def without_dots(url: Column) -> Column:
+    """The url with the segments ``.`` and ``..`` of its path taken out, the latter with the segment before them."""
+    origin, path, rest = (F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$", k) for k in (1, 2, 3))
+    segments = F.split(path, "/")
+
+    def step(done: Column, segment: Column) -> Column:
+        shorter = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(segment == "..", shorter).when(segment == ".", done).otherwise(F.concat(done, F.array(segment)))
+
+    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), F.array().cast("array<string>"), step)
+    ending = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    cleaned = F.concat(origin, F.lit("/"), F.array_join(F.concat(kept, ending), "/"), rest)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), cleaned).otherwise(url)
+
+
 def resolve(base: Column, target: Column) -> Column:
-    """A link target against the url of its page."""
+    """A link target against the url of its page; null for a fragment and for schemes other than http and https."""
     scheme, host, path = F.regexp_extract(base, r"(?s)^(.*?)://", 1), F.regexp_extract(base, URL, 1), F.regexp_extract(base, URL, 2)
     folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^.*/", 0))
-    return (
-        F.when(F.instr(target, "://") > 0, target)
+    return without_dots(
+        F.when(target.rlike(ABSOLUTE), target)
+        .when(target.rlike(SCHEME) | target.startswith("#"), F.lit(None))
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host, target))
+        .when(target.startswith("?"), F.concat(scheme, F.lit("://"), host, path, target))
         .otherwise(F.concat(scheme, F.lit("://"), host, folder, target))
     )
 
@@ -59,7 +81,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     tags = chosen.select("from_url", F.explode(F.regexp_extract_all("html", F.lit(LINK_TAGS), F.lit(0))).alias("tag"))
     target = F.when(F.col("tag").rlike(CANONICAL), F.regexp_extract("tag", HREF, 1)).when(F.col("tag").rlike(REFRESH), F.regexp_extract("tag", REFRESH_URL, 1))
     found = tags.select("from_url", F.replace(target, F.lit("&amp;"), F.lit("&")).alias("target")).where("target <> ''")
-    return found.select("from_url", resolve(F.col("from_url"), F.col("target")).alias("to_url"))
+    return found.select("from_url", resolve(F.col("from_url"), F.col("target")).alias("to_url")).where("to_url is not null")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
