@@ -302,7 +302,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 80, width: int = WIDTH) -> DataFrame:
-    """The columns of ``docs``; of each component only the document with the smallest id, and rows with a null id."""
-    gone = near_duplicates(docs, text, key, percent, width).where("id <> component_id").select(F.col("id").alias("gone")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").alias("id"))
-    return rows.join(gone, rows["id"] == gone["gone"], "left_anti").select("row.*")
+    """The columns of ``docs``; of each component one row: that with the smallest id, null last.
+
+    Rows are told apart by a digest of id and text, so ids may repeat or be null; of equal rows one stays. Rows without
+    words are linked with nothing and all stay.
+    """
+    own, content = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
+    digest = F.md5(F.concat(F.coalesce(own.cast("string"), F.lit("null")), F.lit(":"), content).cast("binary"))
+    worded = content.rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(F.struct("*").alias("row"), own.alias("own"), content.alias("content"), digest.alias("digest")).where(worded)
+    found = near_duplicates(rows.select("digest", "content"), "content", "digest", percent, width)
+    # one row per digest, however often it occurs
+    of_digest = found.groupBy(F.col("id").alias("digest")).agg(F.min("component_id").alias("component"))
+    owners = rows.groupBy("digest").agg(F.min("own").alias("own"))
+    first = of_digest.join(owners, "digest").groupBy("component").agg(F.min(F.struct(F.col("own").isNull(), "own", "digest"))["digest"].alias("stays"))
+    kept = rows.join(first.select("stays"), rows["digest"] == first["stays"], "left_semi").dropDuplicates(["digest"])
+    return kept.select("row.*").unionByName(docs.where(~F.coalesce(worded, F.lit(False))))

@@ -78,7 +78,7 @@ def op2_secret_scans(table):
 
 
 _MIX_SQL = """
-with sized as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size from documents),
+with sized as (select doc_id, source, md5(coalesce(text, '')) as digest, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size from documents),
 sources as (select source, sum(size)::bigint as source_size from sized group by source),
 weighed as (select *, [5.0::double, 2.0::double, 1.0::double][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight from sources),
 ranked as (select *, 3 * source_size / weight as cap, row_number() over (order by 3 * source_size / weight, source nulls last) as place from weighed),
@@ -88,7 +88,7 @@ fitting as (select level from levels where level * weight <= 3 * source_size ord
 targets as (select source, source_size, least((3 * source_size)::double, coalesce((select level from fitting) * weight, (3 * source_size)::double)) as target from levels),
 rated as (select *, case when source_size > 0 then least(target / source_size, 3.0::double) else 0.0::double end as rate from targets)
 select d.doc_id, d.size, r.source_size, r.target,
-  d.size * (floor(rate)::bigint + case when ('0x' || substr(md5('7:' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0::double < rate - floor(rate) then 1 else 0 end) as taken
+  d.size * (floor(rate)::bigint + case when ('0x' || substr(md5('7:' || coalesce(d.doc_id::varchar, '') || ':' || d.digest), 1, 13))::bigint / 4503599627370496.0::double < rate - floor(rate) then 1 else 0 end) as taken
 from sized d join rated r on d.source is not distinct from r.source
 """
 
@@ -206,12 +206,18 @@ _RULES = (("org", "/", True), ("example.org", "/es/", False), ("example.org", "/
 _URL_SQL = r"""
 with recursive rules(rule_host, rule_path, allow) as (values ('org', '/', true), ('example.org', '/es/', false), ('example.org', '/en/1', false), ('com', '/fr/', true), ('com', '/de/', false)),
 links as (
-  select url, replace(case when regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b') then regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
-    when regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b') then regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) end, '&amp;', '&') as target
+  select url, replace(case when regexp_matches(tag, '(?is)[\s"'']rel\s*=\s*["'']?canonical\b') then regexp_extract(tag, '(?is)[\s"'']href\s*=\s*["'']?([^"''\s>]+)', 1)
+    when regexp_matches(tag, '(?is)[\s"'']http-equiv\s*=\s*["'']?refresh\b') then regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) end, '&amp;', '&') as target
   from (select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag from pages where regexp_matches(html, '(?i)canonical|refresh'))),
 based as (select url, target, regexp_extract(url, '^(.*?)://', 1) as scheme, regexp_extract(url, '://([^/?#]*)', 1) as host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) as path from links where target <> ''),
-resolved as (select url, case when contains(target, '://') then target when target like '//%' then scheme || ':' || target when target like '/%' then scheme || '://' || host || target
+joined as (select url, case when regexp_matches(target, '(?i)^https?://') then target when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') or target like '#%' then null
+  when target like '//%' then scheme || ':' || target when target like '/%' then scheme || '://' || host || target when target like '?%' then scheme || '://' || host || path || target
   else scheme || '://' || host || (case when path = '' then '/' else regexp_extract(path, '^.*/', 0) end) || target end as to_url from based),
+cut as (select url, to_url, regexp_extract(to_url, '(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$', 1) as origin, regexp_extract(to_url, '(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$', 2) as path,
+  regexp_extract(to_url, '(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$', 3) as rest from joined where to_url is not null),
+resolved as (select url, case when regexp_matches(path, '/\.\.?(/|$)') then origin || '/' || array_to_string(list_concat(
+    list_reduce(list_prepend([]::varchar[], list_transform(string_split(path, '/')[2:], lambda s: [s])), lambda done, s: case s[1] when '..' then done[:greatest(len(done) - 1, 0)] when '.' then done else list_concat(done, s) end),
+    case when string_split(path, '/')[-1] in ('.', '..') then [''] else [] end), '/') || rest else to_url end as to_url from cut),
 urls as (select url from pages where url is not null union select to_url from resolved),
 named as (select url, case when contains(url, '://') then translate(regexp_extract(url, '(?s)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
   case when contains(url, '://') then regexp_extract(url, '(?s)://[^/?#]*([^?#]*)', 1) else '' end as path,
