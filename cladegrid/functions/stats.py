@@ -54,6 +54,10 @@ def rank_sum_tail(m: int, n: int) -> np.ndarray:
     return np.array([min(1.0, 2 * int(c) / every) for c in above])
 
 
+def rank_sum_exact(u: float, m: int, n: int) -> float:
+    return float(rank_sum_tail(m, n)[int(max(u, m * n - u))])
+
+
 def normal_tail(z: Column) -> Column:
     """Two-sided tail of the normal distribution, 1 where z is not above 0, by two fixed series."""
     x = z / F.lit(math.sqrt(2.0))
