@@ -18,10 +18,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ UNDETERMINED = "und"
 # Unseen words remembered by a worker; only speed depends on it.
 REMEMBERED = 100_000
 # Tokens a task counts before it hands them on, so that long texts need no more memory.
-COUNTED = 200_000
+COUNTED = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -56,14 +57,25 @@ def grams_of(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(len(marked) - length + 1)]
 
 
-class Model(NamedTuple):
-    """Languages in order, and log frequencies by language of words and n-grams."""
+class Model:
+    """Languages in order, and log frequencies by language of words and n-grams.
 
-    languages: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
+    Tokens travel as Arrow arrays; a worker makes its lookup tables from them once.
+    """
+
+    def __init__(self, languages: list[str], words: pa.Array, word_logs: np.ndarray, grams: pa.Array, gram_logs: np.ndarray) -> None:
+        self.languages, self._words, self.word_logs, self._grams, self.gram_logs = languages, words, word_logs, grams, gram_logs
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "grams")}
+
+    @cached_property
+    def words(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self._words.to_pylist())}
+
+    @cached_property
+    def grams(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self._grams.to_pylist())}
 
     def unseen(self, word: str) -> np.ndarray:
         for length in range(LONGEST, 0, -1):
@@ -129,36 +141,34 @@ def _gram_counts(words: DataFrame, languages: list[str]) -> DataFrame:
     names = [f"n{i}" for i in range(len(languages))]
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
-        for batch in batches:
-            counts = np.stack([batch.column(n).to_numpy() for n in names], 1)
-            for word, n in zip(batch.column("token").to_pylist(), counts):
-                for length in range(1, LONGEST + 1):
-                    for gram in grams_of(word, length):
-                        found[gram] = found[gram] + n if gram in found else n
-                if len(found) >= COUNTED:
-                    yield listed(found)
-                    found = {}
-        yield listed(found)
-
-    def listed(found: dict[str, np.ndarray]) -> pa.RecordBatch:
-        counts = np.array(list(found.values()), np.int64).reshape(-1, len(names))
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *(pa.array(counts[:, i]) for i in range(len(names)))], names=["token", *names])
+        for whole in batches:
+            for start in range(0, whole.num_rows, COUNTED // 50):
+                batch = whole.slice(start, COUNTED // 50)
+                places: dict[str, int] = {}
+                own, of_word = [], []
+                for k, word in enumerate(batch.column("token").to_pylist()):
+                    for length in range(1, LONGEST + 1):
+                        for gram in grams_of(word, length):
+                            own.append(places.setdefault(gram, len(places)))
+                            of_word.append(k)
+                counts = np.zeros((len(places), len(names)), np.int64)
+                np.add.at(counts, own, np.stack([batch.column(n).to_numpy() for n in names], 1)[of_word])
+                yield pa.RecordBatch.from_arrays([pa.array(list(places), pa.string()), *(pa.array(counts[:, i]) for i in range(len(names)))], names=["token", *names])
 
     counted = words.mapInArrow(tokens, ", ".join(["token string", *(f"{n} long" for n in names)]))
     return counted.groupBy("token").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _logs(table: pa.Table, languages: list[str], by_length: bool) -> tuple[dict[str, int], np.ndarray]:
-    """Log relative frequencies, within the n-grams of one length where told so, smoothed by a half."""
-    tokens = table.column("token").to_pylist()
+def _logs(table: pa.Table, languages: list[str], by_length: bool) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and their log relative frequencies, within the n-grams of one length where told so, smoothed by a half."""
+    tokens = table.column("token").combine_chunks()
     counts = np.stack([table.column(f"n{i}").to_numpy() for i in range(len(languages))], 1) + 0.5
-    groups = np.array([len(t) for t in tokens], int) if by_length else np.zeros(len(tokens), int)
+    groups = pc.utf8_length(tokens).to_numpy() if by_length else np.zeros(len(tokens), int)
     out = np.empty_like(counts)
     for group in np.unique(groups):
         chosen = groups == group
         out[chosen] = np.log(counts[chosen] / counts[chosen].sum(0))
-    return {t: i for i, t in enumerate(tokens)}, out
+    return tokens, out
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -169,7 +179,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+        none = pa.array([], pa.string())
+        return Model([], none, np.zeros((0, 0)), none, np.zeros((0, 0)))
     share = F.create_map(*[F.lit(x) for lang_ in languages for x in (lang_, sample_rows / sizes[lang_])])
     picked = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct()
     # the counted words are kept, as they are read twice
