@@ -35,6 +35,8 @@ UNDETERMINED = "und"
 REMEMBERED = 100_000
 # Tokens a task counts before it hands them on, so that long texts need no more memory.
 COUNTED = 50_000
+# Characters of texts whose words are looked up together.
+TOGETHER = 1 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,6 +75,13 @@ class Model:
     def words(self) -> dict[str, int]:
         return {t: i for i, t in enumerate(self._words.to_pylist())}
 
+    def places(self, words: set[str]) -> dict[str, int]:
+        """The places of those words that are known."""
+        given = pa.array(list(words), pa.string())
+        at = pc.index_in(given, value_set=self._words)
+        known = pc.is_valid(at)
+        return dict(zip(given.filter(known).to_pylist(), at.filter(known).to_pylist()))
+
     @cached_property
     def grams(self) -> dict[str, int]:
         return {t: i for i, t in enumerate(self._grams.to_pylist())}
@@ -89,11 +98,23 @@ class Predictor:
     def __init__(self, model: Model) -> None:
         self.model, self.seen = model, {}
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        counts = words_of(text)
+    def many(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Predictions for texts, whose words are looked up together, so that no table of all words is kept."""
+        out: list[tuple[str, float]] = []
+        counted, size = [], 0
+        for k, text in enumerate(texts):
+            counted.append(words_of(text))
+            size += len(text or "")
+            if size >= TOGETHER or k + 1 == len(texts):
+                known = self.model.places(set().union(*counted))
+                out += [self._judge(counts, known) for counts in counted]
+                counted, size = [], 0
+        return out
+
+    def _judge(self, counts: Counter, places_of: dict[str, int]) -> tuple[str, float]:
         if not counts or not self.model.languages:
             return UNDETERMINED, 0.0
-        places = list(map(self.model.words.get, counts))
+        places = list(map(places_of.get, counts))
         times = np.fromiter(counts.values(), float, len(counts))
         total = np.zeros(len(self.model.languages))
         if None in places:
@@ -196,7 +217,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(shared.value)
         for batch in batches:
-            found = [predictor(t) for t in batch.column("text").to_pylist()]
+            found = predictor.many(batch.column("text").to_pylist())
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], names=["row", "lang_pred", "score"])
 
