@@ -18,7 +18,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ LONGEST = 5
 SAMPLE_ROWS = 3000
 UNDETERMINED = "und"
 # Unseen words remembered by a worker; only speed depends on it.
-REMEMBERED = 100_000
+REMEMBERED = 20_000
 # Tokens a task counts before it hands them on, so that long texts need no more memory.
 COUNTED = 50_000
 # Characters of texts whose words are looked up together.
@@ -59,39 +58,42 @@ def grams_of(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(len(marked) - length + 1)]
 
 
+def _places(tokens: set[str], known: pa.Array) -> dict[str, int]:
+    """The places of those tokens that are known."""
+    given = pa.array(list(tokens), pa.string())
+    at = pc.index_in(given, value_set=known)
+    found = pc.is_valid(at)
+    return dict(zip(given.filter(found).to_pylist(), at.filter(found).to_pylist()))
+
+
 class Model:
-    """Languages in order, and log frequencies by language of words and n-grams.
+    """Languages in order, log frequencies by language of words, and those of the n-grams of each length.
 
-    Tokens travel as Arrow arrays; a worker makes its lookup tables from them once.
+    Tokens stay Arrow arrays, in which many are looked up at once, so that no worker keeps a table of all.
     """
 
-    def __init__(self, languages: list[str], words: pa.Array, word_logs: np.ndarray, grams: pa.Array, gram_logs: np.ndarray) -> None:
-        self.languages, self._words, self.word_logs, self._grams, self.gram_logs = languages, words, word_logs, grams, gram_logs
+    def __init__(self, languages: list[str], words: pa.Array, word_logs: np.ndarray, grams: dict[int, tuple[pa.Array, np.ndarray]]) -> None:
+        self.languages, self.known_words, self.word_logs, self.grams = languages, words, word_logs, grams
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "grams")}
-
-    @cached_property
+    @property
     def words(self) -> dict[str, int]:
-        return {t: i for i, t in enumerate(self._words.to_pylist())}
-
-    def places(self, words: set[str]) -> dict[str, int]:
-        """The places of those words that are known."""
-        given = pa.array(list(words), pa.string())
-        at = pc.index_in(given, value_set=self._words)
-        known = pc.is_valid(at)
-        return dict(zip(given.filter(known).to_pylist(), at.filter(known).to_pylist()))
+        return {t: i for i, t in enumerate(self.known_words.to_pylist())}
 
-    @cached_property
-    def grams(self) -> dict[str, int]:
-        return {t: i for i, t in enumerate(self._grams.to_pylist())}
-
-    def unseen(self, word: str) -> np.ndarray:
+    def unseen(self, words: list[str]) -> dict[str, np.ndarray]:
+        """For each word the mean over its known n-grams of the longest length at which it has any, else zeros."""
+        out: dict[str, np.ndarray] = {}
         for length in range(LONGEST, 0, -1):
-            known = [self.grams[g] for g in grams_of(word, length) if g in self.grams]
-            if known:
-                return self.gram_logs[known].mean(0)
-        return np.zeros(len(self.languages))
+            if length not in self.grams or not words:
+                continue
+            known, logs = self.grams[length]
+            own = [grams_of(word, length) for word in words]
+            places = _places(set().union(*own), known)
+            for word, grams in zip(words, own):
+                at = [places[g] for g in grams if g in places]
+                if at:
+                    out[word] = logs[at].mean(0)
+            words = [word for word in words if word not in out]
+        return out | dict.fromkeys(words, np.zeros(len(self.languages)))
 
 
 class Predictor:
@@ -99,14 +101,18 @@ class Predictor:
         self.model, self.seen = model, {}
 
     def many(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Predictions for texts, whose words are looked up together, so that no table of all words is kept."""
+        """Predictions for texts, whose words are looked up together."""
         out: list[tuple[str, float]] = []
         counted, size = [], 0
         for k, text in enumerate(texts):
             counted.append(words_of(text))
             size += len(text or "")
             if size >= TOGETHER or k + 1 == len(texts):
-                known = self.model.places(set().union(*counted))
+                words = set().union(*counted)
+                known = _places(words, self.model.known_words)
+                if len(self.seen) >= REMEMBERED:
+                    self.seen.clear()
+                self.seen |= self.model.unseen([w for w in words if w not in known and w not in self.seen])
                 out += [self._judge(counts, known) for counts in counted]
                 counted, size = [], 0
         return out
@@ -119,15 +125,9 @@ class Predictor:
         total = np.zeros(len(self.model.languages))
         if None in places:
             known = np.array([at is not None for at in places])
-            seen = self.seen
             for word, at, n in zip(counts, places, times.tolist()):
                 if at is None:
-                    logs = seen.get(word)
-                    if logs is None:
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        logs = seen[word] = self.model.unseen(word)
-                    total += logs * n
+                    total += self.seen[word] * n
             places, times = [at for at in places if at is not None], times[known]
         if len(places):
             total += times @ self.model.word_logs[places]
@@ -180,16 +180,15 @@ def _gram_counts(words: DataFrame, languages: list[str]) -> DataFrame:
     return counted.groupBy("token").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _logs(table: pa.Table, languages: list[str], by_length: bool) -> tuple[pa.Array, np.ndarray]:
-    """Tokens and their log relative frequencies, within the n-grams of one length where told so, smoothed by a half."""
-    tokens = table.column("token").combine_chunks()
+def _logs(table: pa.Table, languages: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and their log relative frequencies, smoothed by a half."""
     counts = np.stack([table.column(f"n{i}").to_numpy() for i in range(len(languages))], 1) + 0.5
-    groups = pc.utf8_length(tokens).to_numpy() if by_length else np.zeros(len(tokens), int)
-    out = np.empty_like(counts)
-    for group in np.unique(groups):
-        chosen = groups == group
-        out[chosen] = np.log(counts[chosen] / counts[chosen].sum(0))
-    return tokens, out
+    return table.column("token").combine_chunks(), np.log(counts / counts.sum(0))
+
+
+def _logs_by_length(table: pa.Table, languages: list[str]) -> dict[int, tuple[pa.Array, np.ndarray]]:
+    lengths = pc.utf8_length(table.column("token"))
+    return {n: _logs(table.filter(pc.equal(lengths, n)), languages) for n in pc.unique(lengths).to_pylist()}
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -200,14 +199,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        none = pa.array([], pa.string())
-        return Model([], none, np.zeros((0, 0)), none, np.zeros((0, 0)))
+        return Model([], pa.array([], pa.string()), np.zeros((0, 0)), {})
     share = F.create_map(*[F.lit(x) for lang_ in languages for x in (lang_, sample_rows / sizes[lang_])])
     picked = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < share[F.col("lang")] * (1 << 32)).distinct()
     # the counted words are kept, as they are read twice
     words = cut_lineage(_word_counts(picked, languages))
     ordered = [x.orderBy("token").toArrow() for x in (words, _gram_counts(words, languages))]
-    return Model(languages, *_logs(ordered[0], languages, False), *_logs(ordered[1], languages, True))
+    return Model(languages, *_logs(ordered[0], languages), _logs_by_length(ordered[1], languages))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -220,6 +218,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             found = predictor.many(batch.column("text").to_pylist())
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], names=["row", "lang_pred", "score"])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     kept = F.struct("*") if keep is None else F.struct(*[f"`{c}`" for c in keep])
     chosen = docs.select(kept.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
