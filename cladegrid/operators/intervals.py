@@ -91,31 +91,73 @@ def overlap_counts(
     return counted.select(*windows.columns, number.alias("overlap_count"))
 
 
+# Coordinates are told apart to this many positions when pairs are looked for; only speed depends on it.
+PAIR_WIDTH = 1024
+
+
+def _down(value: Column, level: Column) -> Column:
+    """Cell of a block number at a level: cells of level k hold 4 ** k blocks."""
+    return F.call_function("shiftright", value, F.lit(2).cast("int") * level)
+
+
+def _range_levels(first: Column, after: Column) -> Column:
+    """Levels at which a cell can lie inside the blocks first .. after - 1."""
+    return F.sequence(F.lit(0), F.floor((F.length(F.bin(after - first)) - 1) / 2).cast("int"))
+
+
+def _range_cells(first: Column, after: Column) -> Column:
+    """The fewest cells (level, cell) that together hold the blocks first .. after - 1 and no other."""
+
+    def run(start: Column, stop: Column) -> Column:
+        return F.when(start < stop, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def at(level: Column) -> Column:
+        start, stop = -_down(-first, level), _down(after, level)
+        above_start, above_stop = -_down(-first, level + 1) * 4, _down(after, level + 1) * 4
+        edges = F.concat(run(start, above_start), run(above_stop, stop))
+        cells = F.when(above_start < above_stop, edges).otherwise(run(start, stop))
+        return F.transform(cells, lambda cell: F.struct(level.alias("level"), cell.alias("cell")))
+
+    return F.flatten(F.transform(_range_levels(first, after), at))
+
+
+def points_in_ranges(ranges: DataFrame, points: DataFrame, seqid: str, first: str, last: str, point: str, width: int = PAIR_WIDTH) -> DataFrame:
+    """(range row, point row) pairs on one sequence with first <= point <= last, by an equi-join.
+
+    A range is cut into the few cells of sizes width * 4 ** k that hold exactly its blocks of ``width`` positions, at most
+    six of a size, and a point is in one cell of each size that some range uses. So a pair meets once, a long range
+    costs the logarithm of its length, and only the two blocks at its ends can hold points outside it: with ``width``
+    1 there are none. The columns of the two tables must differ but for ``seqid``; empty ranges and nulls meet nothing.
+    """
+    block = width_bucket_of(width)
+    usable = ranges.where(F.col(first) <= F.col(last))
+    cut = usable.withColumn("_at", F.explode(_range_cells(block(F.col(first)), block(F.col(last)) + 1)))
+    highest = usable.agg(F.max(F.size(_range_levels(block(F.col(first)), block(F.col(last)) + 1)))).scalar()
+    placed = points.where(F.col(point).isNotNull()).withColumns({"_block": block(F.col(point)), "_levels": highest})
+    spread = placed.withColumn(
+        "_at",
+        F.explode(F.transform(F.sequence(F.lit(0), F.col("_levels") - 1), lambda k: F.struct(k.alias("level"), _down(F.col("_block"), k).alias("cell")))),
+    ).drop("_block", "_levels")
+    inside = (F.col(first) <= F.col(point)) & (F.col(point) <= F.col(last))
+    return cut.join(spread, [seqid, "_at"]).where(inside).drop("_at")
+
+
 def overlap_pairs(
     windows: DataFrame, features: DataFrame, seqid: str, window_id: str, self_id: str,
-    width: int = BIN_WIDTH, w: tuple[str, str] = ("start", "end"), f: tuple[str, str] = ("start", "end"),
+    width: int = PAIR_WIDTH, w: tuple[str, str] = ("start", "end"), f: tuple[str, str] = ("start", "end"),
 ) -> DataFrame:
     """(window, overlapping other feature) rows; as many as the id lists of the result have entries.
 
-    Both sides are cut into bins and meet per (sequence, bin); a pair that shares several bins is
-    kept only in the first of them.
+    Of two overlapping intervals either the feature starts inside the window or the window starts inside the
+    feature after its start: two searches of points in ranges, which share no pair. Intervals have start <= end.
     """
-    bin_of = width_bucket_of(width)
-
-    def binned(df: DataFrame, start: str, end: str, tag: str) -> DataFrame:
-        first, last = bin_of(F.col(start)), bin_of(F.col(end))
-        return df.withColumn(f"_first_{tag}", first).withColumn("_bin", F.explode(F.sequence(first, last)))
-
-    left = windows.select(seqid, window_id, F.col(self_id).alias("_self"), F.col(w[0]).alias("_ws"), F.col(w[1]).alias("_we"))
-    right = features.select(seqid, F.col(self_id).alias("feature_id"), F.col(f[0]).alias("_fs"), F.col(f[1]).alias("_fe"))
-    met = binned(left, "_ws", "_we", "w").join(binned(right, "_fs", "_fe", "f"), [seqid, "_bin"])
-    kept = met.where(
-        (F.col("_fs") <= F.col("_we"))
-        & (F.col("_fe") >= F.col("_ws"))
-        & (F.col("feature_id") != F.col("_self"))
-        & (F.col("_bin") == F.greatest("_first_w", "_first_f"))
-    )
-    return kept.select(window_id, "feature_id")
+    left = windows.select(seqid, window_id, F.col(self_id).alias("_self"), F.col(w[0]).cast("long").alias("_ws"), F.col(w[1]).cast("long").alias("_we"))
+    right = features.select(seqid, F.col(self_id).alias("feature_id"), F.col(f[0]).cast("long").alias("_fs"), F.col(f[1]).cast("long").alias("_fe"))
+    left, right = left.where("_ws <= _we"), right.where("_fs <= _fe")
+    begun = points_in_ranges(left, right, seqid, "_ws", "_we", "_fs", width)
+    running = points_in_ranges(right.withColumn("_after", F.col("_fs") + 1), left, seqid, "_after", "_fe", "_ws", width)
+    met = begun.select(window_id, "_self", "feature_id").unionByName(running.select(window_id, "_self", "feature_id"))
+    return met.where(F.col("feature_id") != F.col("_self")).select(window_id, "feature_id")
 
 
 def overlap_lists(windows: DataFrame, features: DataFrame, seqid: str, window_id: str, self_id: str, **options) -> DataFrame:

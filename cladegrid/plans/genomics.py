@@ -390,6 +390,25 @@ def group_tests(
     return {name: distribution.stack(frames) for name, frames in stacked.items()}
 
 
+# The column names of gene tables for those of the comparison tables.
+TEST_COLUMNS = {
+    "n_items": "n_genes", "n_units": "n_species", "n_unit_group_cells": "n_species_group_units",
+    "n_items_1": "n_genes_1", "n_items_2": "n_genes_2", "n_units_1": "n_species_1", "n_units_2": "n_species_2",
+    "median_item_1": "median_gene_1", "median_item_2": "median_gene_2",
+    "median_unit_1": "median_species_unit_1", "median_unit_2": "median_species_unit_2",
+    "median_unit_difference": "median_species_unit_difference",
+    "input_item_rows": "input_gene_rows", "eligible_item_rows": "eligible_gene_rows", "excluded_item_rows": "excluded_gene_rows",
+    "eligible_unit_group_cells": "eligible_species_group_units",
+}
+
+
+def gene_group_tests(
+    table: DataFrame, group_fields: Sequence[str] = LABELS, metrics: Sequence[str] = STRUCTURE_SUMMARY_METRICS, **options
+) -> dict[str, DataFrame]:
+    """:func:`group_tests` on a gene table: genes are the items, species the units, and columns are named so."""
+    return {name: renamed(found, TEST_COLUMNS) for name, found in group_tests(table, group_fields, metrics, **options).items()}
+
+
 def chromosome_positions(
     members: DataFrame, lengths: DataFrame, representatives: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:

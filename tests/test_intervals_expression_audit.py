@@ -46,6 +46,34 @@ def test_overlaps_by_brute_force(spark, width):
     assert {k: v["overlap_count"] for k, v in lists.items()} == counts
 
 
+@pytest.mark.parametrize("width", [1, 7, 1024])
+def test_points_in_ranges_by_brute_force(spark, width):
+    rng = random.Random(5)
+    spans = [(f"r{i}", "ab"[i % 2], s, s + rng.choice([-1, 0, 1, 15, 16, 300, 9000])) for i in range(80) for s in [rng.randint(-500, 9000)]]
+    spots = [(f"p{i}", "ab"[i % 2], rng.randint(-600, 20000)) for i in range(120)] + [("none", "a", None)]
+    ranges = spark.createDataFrame([*spans, ("open", "a", None, 5)], "r string, seq string, lo long, hi long")
+    points = spark.createDataFrame(spots, "p string, seq string, at long")
+    found = [(x.r, x.p) for x in intervals.points_in_ranges(ranges, points, "seq", "lo", "hi", "at", width=width).collect()]
+    assert sorted(found) == sorted((r, p) for r, q, lo, hi in spans for p, q2, at in spots if q == q2 and at is not None and lo <= at <= hi)
+
+
+def test_cells_of_a_range_are_few_and_exact(spark):
+    """A range over 10 million positions takes a few dozen cells, and they hold each of its blocks once."""
+    bounds = [(0, 1), (3, 4), (5, 5 + 4**4), (-7, 90), (1, 10_000_001)]
+    cells = spark.createDataFrame(bounds, "a long, b long").select("a", "b", intervals._range_cells(F.col("a"), F.col("b")).alias("c")).collect()
+    for r in cells:
+        assert len(r.c) <= 6 * 13 and sum(4**c.level for c in r.c) == r.b - r.a
+        if r.b - r.a < 1000:
+            assert sorted(x for c in r.c for x in range(c.cell * 4**c.level, (c.cell + 1) * 4**c.level)) == list(range(r.a, r.b))
+
+
+def test_no_ranges_or_points(spark):
+    none = spark.createDataFrame([], "gene string, seq string, start long, end long")
+    one = spark.createDataFrame([("g", "s", 1, 5)], "gene string, seq string, start long, end long")
+    for windows, features in ((none, one), (one, none), (none, none)):
+        assert intervals.overlap_pairs(windows.withColumn("w", F.col("gene")), features, "seq", "w", "gene").count() == 0
+
+
 def test_structure(spark):
     features = spark.createDataFrame(
         [

@@ -78,6 +78,16 @@ def test_separated_groups(spark):
     assert qc.eligible_unit_group_cells == 8 and qc.low_power_warning
 
 
+def test_gene_tables_have_their_column_names(spark):
+    tables = genomics.gene_group_tests(separated(spark), ["subfamily"], ["gene_length"])
+    overall, pair, qc = (tables[k].collect()[0] for k in ("global", "pairwise", "quality"))
+    assert (overall.n_genes, overall.n_species, overall.n_species_group_units, overall.min_group_units) == (8, 4, 8, 2)
+    assert (pair.n_genes_1, pair.n_species_2, pair.median_gene_1, pair.median_species_unit_2) == (4, 4, 1.75, 10.5)
+    assert pair.median_species_unit_difference == -8.75
+    assert (qc.input_gene_rows, qc.eligible_gene_rows, qc.excluded_gene_rows, qc.eligible_species_group_units) == (8, 8, 0, 8)
+    assert not {"n_items", "n_units"} & {c for t in tables.values() for c in t.columns}
+
+
 def test_one_unit_per_group_withholds(spark):
     data = [("A1", "SpA", "Cultivated", 2), ("A2", "SpA", "Cultivated", 3), ("B1", "SpB", "Wild", 8), ("B2", "SpB", "Wild", 9)]
     df = spark.createDataFrame(data, "stable_id string, species_id string, group string, exon_count int")
