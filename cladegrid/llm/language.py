@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladegrid.llm import words as text_words
 from cladegrid.session import cut_lineage
 
 LONGEST = 5
@@ -148,6 +149,8 @@ def _word_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
                     yield listed(found)
                     found = Counter()
         yield listed(found)
+        del found
+        text_words.give_back()
 
     def listed(found: Counter) -> pa.RecordBatch:
         columns = list(zip(*((lang, token, n) for (lang, token), n in found.items()))) or [()] * 3
@@ -218,7 +221,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             found = predictor.many(batch.column("text").to_pylist())
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], names=["row", "lang_pred", "score"])
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        text_words.give_back()
 
     kept = F.struct("*") if keep is None else F.struct(*[f"`{c}`" for c in keep])
     chosen = docs.select(kept.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))

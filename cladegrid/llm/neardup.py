@@ -38,6 +38,8 @@ REGISTERS = BANDS * BAND
 BASE, RATE, TOP = 1.12, 20.0, 254
 # Pieces of buckets and families: rows, and shingles of families.
 PIECE_ROWS, PIECE_SHINGLES = 256, 1_000_000
+# Up to so many digests of 16 bytes are sent to all tasks to take rows out; beyond, rows and digests are joined by shuffle.
+SENT_DIGESTS = 200_000
 # A pair is dropped if its likelihood at the threshold is e ** -DOUBT of the best one.
 DOUBT = 20.0
 
@@ -96,6 +98,7 @@ def sketch(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
                     keys.append(None if i is None else banded[i])
             arrays = [batch.column("id"), pa.array(n, pa.int64()), pa.array(codes, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "code", "registers", "bands"])
+        words.give_back()
 
     chosen = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     fields = chosen.select("id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("code"), *[F.lit(None).cast(t).alias(c) for c, t in (("registers", "binary"), ("bands", "array<long>"))])
@@ -253,6 +256,7 @@ def _confirm(percent: int):
                 forest.add(linked[linked[:, 0] != linked[:, 1]])
                 found.append(forest.stars(nodes[start:end]))
             yield _edges(found)
+        words.give_back()
 
     return confirm
 
@@ -266,6 +270,7 @@ def _full_sets(docs: DataFrame, members: DataFrame, text: str, key: str, width:
             right = np.array([_digest(s) for s in codes], np.int64) == batch.column("code").to_numpy()
             arrays = [batch.column("family"), batch.column("code"), batch.column("pieces"), pa.array([s.tobytes() for s in codes], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["family", "code", "pieces", "codes"]).filter(pa.array(right))
+        words.give_back()
 
     chosen = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     joined = members.join(chosen, members["least_id"] == chosen["id"]).select("family", "code", "pieces", "text")
@@ -308,13 +313,20 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id
     words are linked with nothing and all stay.
     """
     own, content = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
-    digest = F.md5(F.concat(F.coalesce(own.cast("string"), F.lit("null")), F.lit(":"), content).cast("binary"))
+    digest = F.unhex(F.md5(F.concat(F.coalesce(own.cast("string"), F.lit("null")), F.lit(":"), content).cast("binary")))
     worded = content.rlike(r"[^\x20\x09-\x0D]")
     rows = docs.select(F.struct("*").alias("row"), own.alias("own"), content.alias("content"), digest.alias("digest")).where(worded)
     found = near_duplicates(rows.select("digest", "content"), "content", "digest", percent, width)
     # one row per digest, however often it occurs
     of_digest = found.groupBy(F.col("id").alias("digest")).agg(F.min("component_id").alias("component"))
-    owners = rows.groupBy("digest").agg(F.min("own").alias("own"))
-    first = of_digest.join(owners, "digest").groupBy("component").agg(F.min(F.struct(F.col("own").isNull(), "own", "digest"))["digest"].alias("stays"))
-    kept = rows.join(first.select("stays"), rows["digest"] == first["stays"], "left_semi").dropDuplicates(["digest"])
-    return kept.select("row.*").unionByName(docs.where(~F.coalesce(worded, F.lit(False))))
+    named = of_digest.join(rows.groupBy("digest").agg(F.min("own").alias("own"), F.count("*").alias("n")), "digest")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("own").isNull(), "own", "digest"))["digest"].alias("stays"))
+    # most rows stay and occur once: only the others are looked up, and only repeated ones compared
+    others = named.join(first, named["digest"] == first["stays"], "left").where("stays is null or n > 1")
+    others = cut_lineage(others.select("digest", F.col("stays").isNotNull().alias("repeated")))
+    sent = F.broadcast if others.count() <= SENT_DIGESTS else (lambda df: df)
+    texts = rows.select("row", "digest")
+    once = texts.join(sent(others.select("digest")), "digest", "left_anti")
+    repeated = texts.join(sent(others.where("repeated").select("digest")), "digest", "left_semi").dropDuplicates(["digest"])
+    kept = once.unionByName(repeated).select("row.*")
+    return kept.unionByName(docs.where(~F.coalesce(worded, F.lit(False))))

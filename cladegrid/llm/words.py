@@ -7,6 +7,7 @@ the end; a window's code is a polynomial over word codes. A null text has no wor
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,6 +22,14 @@ _FACTOR, _WINDOW_FACTOR = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def give_back() -> None:
+    """Return unused memory to the system, as a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _table(outside: bytes) -> np.ndarray:
     inside = np.ones(256, bool)
     inside[np.frombuffer(outside, np.uint8)] = False
