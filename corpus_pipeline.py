@@ -18,13 +18,14 @@ from cladegrid.session import apply_plan_settings, shared_folder
 LEAST_SCORE = 0.5
 # Similarity of near-duplicates in percent, over shingles of five words.
 SIMILAR = 80
-# Rows of an Arrow batch; stages share Python workers, whose memory follows the batches.
-BATCH_ROWS = 1000
+# Rows and bytes of an Arrow batch; stages share Python workers, whose memory follows the batches.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def _small_batches(spark: SparkSession) -> None:
     apply_plan_settings(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
