@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladegrid.functions.scalars import pair_stratum, ratio_or_infinity
@@ -17,10 +17,18 @@ SINGLE_COPY_TYPE = "orthology_single_copy_to_reference"
 DESCRIPTIVE_ONLY = "DESCRIPTIVE_ONLY_NONINDEPENDENT_PAIRS"
 
 
+def _arrival(source: int, group, unit, member, file=None, block=None, row=None) -> Column:
+    """The place at which a pair arrived, comparable over all sources."""
+    numbers = [F.lit(0) if n is None else n for n in (file, block, row)]
+    named = [F.lit(source).alias("source"), group.alias("group"), unit.alias("unit"), member.alias("member")]
+    return F.struct(*named, *[n.cast("long").alias(name) for n, name in zip(numbers, ("file", "block", "row"))]).alias("arrival")
+
+
 def single_copy_pairs(membership: DataFrame, group: str, unit: str, member: str, reference: str) -> DataFrame:
     """Reference member paired with the member of every other unit, where both have exactly one.
 
-    Members are counted per (group, unit) first, so what meets in the join has one row per unit.
+    Members are counted per (group, unit) first, so what meets in the join has one row per unit. Pairs arrive by group,
+    then unit, then member.
     """
     single = (
         membership.groupBy(group, unit)
@@ -34,18 +42,23 @@ def single_copy_pairs(membership: DataFrame, group: str, unit: str, member: str,
         F.col(member).alias("right_id"),
         F.lit(SINGLE_COPY_TYPE).alias("pair_type"),
         F.col(group).cast("string").alias("group_id"),
-        F.struct(F.lit(0).alias("source"), F.col(group).cast("string").alias("text"), F.lit(0).cast("long").alias("number")).alias("arrival"),
+        _arrival(0, F.col(group).cast("string"), F.col(unit).cast("string"), F.col(member).cast("string")),
     )
 
 
 def listed_pairs(pairs: DataFrame, left: str, right: str, mode: str, unit: str, ordinal: str) -> DataFrame:
-    """Given pairs (for instance by duplication mode) in the common pair form, after the single-copy ones."""
+    """Given pairs (for instance by duplication mode) in the common pair form, after the single-copy ones.
+
+    ``ordinal`` is a number, or a place as ``sources.order`` gives it.
+    """
+    placed = dict(pairs.dtypes)[ordinal].startswith("struct")
+    numbers = [F.col(ordinal)[part] for part in ("file", "block", "row")] if placed else [F.lit(0), F.lit(0), F.col(ordinal)]
     return pairs.select(
         F.col(left).alias("left_id"),
         F.col(right).alias("right_id"),
         F.concat(F.lit("duplication_"), F.coalesce(F.col(mode), F.lit("unknown"))).alias("pair_type"),
         F.coalesce(F.col(unit).cast("string"), F.lit("")).alias("group_id"),
-        F.struct(F.lit(1).alias("source"), F.lit("").alias("text"), F.col(ordinal).cast("long").alias("number")).alias("arrival"),
+        _arrival(1, *[F.lit("")] * 3, *numbers),
     )
 
 

@@ -294,17 +294,17 @@ PAIRS_SQL = f"""
 single AS (SELECT part_id, unit, member FROM gu WHERE copies = 1),
 ortho AS (SELECT least(a.member, b.member) AS stable_id_1, greatest(a.member, b.member) AS stable_id_2,
                  'orthology_single_copy_to_reference' AS pair_type, CAST(a.part_id AS VARCHAR) AS group_id,
-                 0 AS src, CAST(a.part_id AS VARCHAR) AS txt, 0 AS num
+                 0 AS src, CAST(a.part_id AS VARCHAR) AS txt, CAST(b.unit AS VARCHAR) AS of_unit, CAST(b.member AS VARCHAR) AS of_member, 0 AS num
           FROM single a JOIN single b ON a.part_id = b.part_id AND a.unit = 'NATION_0' AND b.unit <> 'NATION_0'),
 dup AS (SELECT least(l_suppkey, c_custkey) AS stable_id_1, greatest(l_suppkey, c_custkey) AS stable_id_2,
-               'duplication_' || l_returnflag AS pair_type, l_linestatus AS group_id, 1 AS src, '' AS txt,
+               'duplication_' || l_returnflag AS pair_type, l_linestatus AS group_id, 1 AS src, '' AS txt, '' AS of_unit, '' AS of_member,
                l_orderkey * 10 + l_linenumber AS num
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         WHERE l_suppkey <> c_custkey AND c_custkey IN (SELECT s_suppkey FROM supplier)),
-per_type AS (SELECT stable_id_1, stable_id_2, pair_type, min((src, txt, num, group_id)) AS first
+per_type AS (SELECT stable_id_1, stable_id_2, pair_type, min((src, txt, of_unit, of_member, num, group_id)) AS first
              FROM (SELECT * FROM ortho UNION ALL SELECT * FROM dup) WHERE stable_id_1 <> stable_id_2 GROUP BY ALL),
-merged AS (SELECT stable_id_1, stable_id_2, string_agg(pair_type, ';' ORDER BY first[1], first[2], first[3], pair_type) AS pair_type,
-                  string_agg(first[4], ';' ORDER BY first[1], first[2], first[3], pair_type) AS group_id FROM per_type GROUP BY ALL)
+merged AS (SELECT stable_id_1, stable_id_2, string_agg(pair_type, ';' ORDER BY first[1], first[2], first[3], first[4], first[5], pair_type) AS pair_type,
+                  string_agg(first[6], ';' ORDER BY first[1], first[2], first[3], first[4], first[5], pair_type) AS group_id FROM per_type GROUP BY ALL)
 """
 
 

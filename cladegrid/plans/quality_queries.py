@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from cladegrid.functions import scalars
 from cladegrid.operators import audit, describe, evidence, expect, joins, occupancy, ranking, reuse
 from cladegrid.plans.membership_queries import CORE, MEMBERSHIP_SQL, NATIONS, SHELL, SOFT, part_membership
 from cladegrid.plans.registry import Tables, query, rounded
+from cladegrid.session import shared_folder
+from cladegrid.sources import hits
 
 
 def line_hits(t: Tables) -> DataFrame:
@@ -48,6 +52,57 @@ def best_domain_hits(t: Tables) -> DataFrame:
     return evidence.best_domain_hit(line_hits(t), "query_id").select("query_id", "domain_ievalue", "ordinal")
 
 
+# The order in which the folders of the return flags are given to the readers; it is not that of their names.
+_FLAGS = ("R", "A", "N")
+
+
+def flag_files(t: Tables, values: list, sep: str) -> list[str]:
+    """Lines as texts of joined values in a folder per return flag, of very different sizes; in order inside each."""
+    folder = f"{shared_folder(t.spark)}/hits-{uuid.uuid4().hex}"
+    order = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    dealt = t.lineitem.repartitionByRange(8, *order).sortWithinPartitions(*order)
+    text = F.concat_ws(sep, *[v.cast("string") for v in values])
+    dealt.select("l_returnflag", text.alias("value")).write.partitionBy("l_returnflag").text(folder)
+    return [f"{folder}/l_returnflag={flag}" for flag in _FLAGS]
+
+
+_FLAG_RANK_SQL = "list_position(['R', 'A', 'N'], l_returnflag), l_orderkey, l_linenumber"
+
+
+@query(f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_discount, floor(l_quantity / 25) DESC, {_FLAG_RANK_SQL}) AS rn FROM lineitem)
+SELECT CAST(l_partkey AS VARCHAR) AS stable_id, CAST(l_suppkey AS VARCHAR) AS query_id, l_discount AS evalue, floor(l_quantity / 25)::DOUBLE AS bitscore,
+       l_orderkey::BIGINT AS order_key, l_linenumber::BIGINT AS line_number FROM r WHERE rn = 1
+""")
+def first_alignments_over_files(t: Tables) -> DataFrame:
+    """Best alignment of every part over written and read-back files; of equal ones the first by file and line."""
+    zero = F.lit(0)
+    values = [
+        F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber"), zero, zero, zero, zero, zero,
+        F.col("l_discount"), F.floor(F.col("l_quantity") / 25), F.lit(100), F.lit(100),
+    ]
+    read = hits.read_alignment_hits(t.spark, flag_files(t, values, "\t"))
+    named = {"order_key": F.col("alignment_length"), "line_number": F.col("mismatch")}
+    return evidence.best_alignment_hit(read.withColumns(named)).select("stable_id", "query_id", "evalue", "bitscore", *named)
+
+
+@query(f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_tax, {_FLAG_RANK_SQL}) AS rn FROM lineitem)
+SELECT CAST(l_suppkey AS VARCHAR) AS stable_id, CAST(l_partkey AS VARCHAR) AS query, l_tax AS domain_ievalue,
+       l_orderkey::BIGINT AS order_key, l_linenumber::BIGINT AS line_number FROM r WHERE rn = 1
+""")
+def first_domains_over_files(t: Tables) -> DataFrame:
+    """Best domain of every supplier over written and read-back per-domain tables, likewise."""
+    dash = F.lit("-")
+    values = [
+        F.col("l_suppkey"), dash, dash, F.col("l_partkey"), dash, dash, F.col("l_discount"), dash, dash, dash, dash, dash,
+        F.col("l_tax"), F.col("l_quantity"), dash, dash, dash, F.col("l_orderkey"), F.col("l_linenumber"), dash, dash, dash, F.lit("some words"),
+    ]
+    read = hits.read_domain_hits(t.spark, flag_files(t, values, "  "))
+    named = {"order_key": F.col("ali_from"), "line_number": F.col("ali_to")}
+    return evidence.best_domain_hit(read.withColumns(named)).select("stable_id", "query", "domain_ievalue", *named)
+
+
 def _evidence(t: Tables) -> DataFrame:
     domain = evidence.domain_hits_within(line_hits(t), 0.01, 0.01)
     aligned = evidence.alignment_hits_within(line_hits(t), 0.02, 40.0, 60.0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cladegrid.functions.scalars import resolve_column, strip
 from cladegrid.sources.delimited import read_table, with_mapped_id, with_stable_id
 from cladegrid.sources.fasta import local_path
+from cladegrid.sources.order import with_file_order
 
 # Columns of the tabular alignment format, in file order.
 ALIGNMENT_SCHEMA = (
@@ -19,10 +20,10 @@ ALIGNMENT_SCHEMA = (
 
 
 def read_domain_hits(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """White-space separated per-domain table; short and comment lines are skipped. Keeps line order."""
-    raw = spark.read.text(path).where((strip("value") != "") & ~F.startswith("value", F.lit("#")))
+    """White-space separated per-domain table; short and comment lines are skipped. ``ordinal`` follows files and lines."""
+    raw = with_file_order(spark.read.text(path), path).where((strip("value") != "") & ~F.startswith("value", F.lit("#")))
     fields = F.split(strip("value"), "\\s+", 23)
-    rows = raw.select(fields.alias("f"), F.monotonically_increasing_id().alias("ordinal")).where(F.size("f") >= 22)
+    rows = raw.select(fields.alias("f"), "ordinal").where(F.size("f") >= 22)
     return rows.select(
         F.get("f", F.lit(0)).alias("stable_id"),
         F.get("f", F.lit(3)).alias("query"),
@@ -36,9 +37,11 @@ def read_domain_hits(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def read_alignment_hits(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    rows = spark.read.schema(ALIGNMENT_SCHEMA).options(sep="\t", comment="#", mode="FAILFAST").csv(path)
+    """Tabular alignments; ``ordinal`` follows the order of files and lines."""
+    scan = spark.read.schema(ALIGNMENT_SCHEMA).options(sep="\t", comment="#", mode="FAILFAST").csv(path)
+    rows = with_file_order(scan, path)
     coverage = F.try_divide(F.col("alignment_length"), F.col("query_length")) * F.lit(100.0)
-    return rows.withColumns({"query_coverage": coverage, "ordinal": F.monotonically_increasing_id()})
+    return rows.withColumn("query_coverage", coverage)
 
 
 # Motif hit columns kept, under their common names, and the scanner's names for them.
@@ -87,12 +90,15 @@ MODE_BY_SUFFIX = {
 
 
 def read_duplication_pairs(spark: SparkSession, directory: str) -> DataFrame:
-    """``species_id, stable_id_1, stable_id_2, duplication_mode, source_file`` from ``*.pairs`` files."""
+    """``species_id, stable_id_1, stable_id_2, duplication_mode, source_file, ordinal`` from ``*.pairs`` files.
+
+    ``ordinal`` follows the paths of the files, then their lines.
+    """
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pairs").text(directory)
     name = F.regexp_extract("source_file", "([^/]+)\\.([^./]+)\\.pairs$", 1)
     suffix = F.regexp_extract("source_file", "([^/]+)\\.([^./]+)\\.pairs$", 2)
     modes = F.create_map(*[F.lit(x) for pair in MODE_BY_SUFFIX.items() for x in pair])
-    rows = raw.select("value", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("ordinal"))
+    rows = with_file_order(raw.select("value", F.col("_metadata.file_path").alias("file_path"), "_metadata"), directory)
     fields = rows.select(local_path().alias("source_file"), F.split("value", "\t").alias("f"), "ordinal")
     kept = fields.where((F.size("f") >= 3) & ~F.startswith(F.lower(F.get("f", F.lit(0))), F.lit("duplicate")))
     return kept.select(

@@ -5,7 +5,7 @@ import pytest
 from conftest import by, rows
 
 from cladegrid.functions import sequences
-from cladegrid.operators import tiles
+from cladegrid.operators import evidence, tiles
 from cladegrid.plans import genomics
 from cladegrid.sources import delimited, fasta, gff, hits, sinks
 
@@ -250,3 +250,41 @@ def test_checked_join(spark):
     joined, violations = checked_left_join(left, right, ["k"])
     assert joined.count() == 2 and violations.count() == 0
     assert rows(checked_left_join(left, right, ["k"], one_to_one=True)[1], "rule") == {("LEFT_KEY_UNIQUE",)}
+
+
+def test_ordinals_follow_files_and_lines(spark, folder):
+    """Files of very different size in many blocks, whose tasks are not in file order."""
+    row = "q{}\t{}\t50\t80\t0\t0\t1\t80\t1\t80\t1e-10\t90\t100\t120"
+    paths = [write(folder, f"{name}.txt", "\n".join(row.format(f"{name}{i}", f"s{i % 3}") for i in range(n))) for name, n in (("c", 3), ("a b", 400), ("b", 40))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        hit = hits.read_alignment_hits(spark, paths)
+        assert hit.select("ordinal.file", "ordinal.block").distinct().count() > 20
+        expected = [f"q{name}{i}" for name, n in (("c", 3), ("a b", 400), ("b", 40)) for i in range(n)]
+        assert [r.query_id for r in hit.orderBy("ordinal").select("query_id").collect()] == expected
+        best = evidence.best_alignment_hit(hits.read_alignment_hits(spark, paths[::-1]))
+        assert rows(best, "query_id") == {("qb0",), ("qb1",), ("qb2",)}
+        below = hits.read_alignment_hits(spark, [folder])  # a folder: by name
+        assert below.orderBy("ordinal").first().query_id == "qa b0"
+        one = hits.read_alignment_hits(spark, paths[1])
+        assert [r.query_id for r in one.orderBy("ordinal").collect()] == expected[3:403]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pairs_arrive_by_file_and_line(spark, folder):
+    for name, n in (("SpA.wgd", 200), ("SpB.tandem", 2), ("SpC.wgd", 60)):
+        lines = [f"{name[:3]}__{i}\tx\t{name[:3]}__{i + 1}" for i in reversed(range(n))]
+        write(folder, f"{name}.pairs", "\n".join(lines))
+    write(folder, "SpD.proximal.pairs", "SpA__1\tx\tSpA__0\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        listed = hits.read_duplication_pairs(spark, folder)
+        members = listed.selectExpr("explode(array(stable_id_1, stable_id_2)) AS stable_id").distinct()
+        found = genomics.substitution_pairs(members, None, listed, "SpA", max_per_group=2)
+        got = rows(found.where("pair_type not like '%;%'"), "stable_id_1", "stable_id_2")
+        assert got == {("SpA__199", "SpA__200"), ("SpA__198", "SpA__199"), ("SpB__1", "SpB__2"), ("SpB__0", "SpB__1"), ("SpC__59", "SpC__60"), ("SpC__58", "SpC__59")}
+        both = found.where("pair_type like '%;%'").collect()
+        assert [(r.pair_type, r.group_id) for r in both] == [("duplication_WGD;duplication_Proximal", "SpA;SpD")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
