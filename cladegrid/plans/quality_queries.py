@@ -60,7 +60,7 @@ def flag_files(t: Tables, values: list, sep: str) -> list[str]:
     """Lines as texts of joined values in a folder per return flag, of very different sizes; in order inside each."""
     folder = f"{shared_folder(t.spark)}/hits-{uuid.uuid4().hex}"
     order = ["l_returnflag", "l_orderkey", "l_linenumber"]
-    dealt = t.lineitem.repartitionByRange(8, *order).sortWithinPartitions(*order)
+    dealt = t.lineitem.repartitionByRange(*order).sortWithinPartitions(*order)
     text = F.concat_ws(sep, *[v.cast("string") for v in values])
     dealt.select("l_returnflag", text.alias("value")).write.partitionBy("l_returnflag").text(folder)
     return [f"{folder}/l_returnflag={flag}" for flag in _FLAGS]

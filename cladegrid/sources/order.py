@@ -55,6 +55,7 @@ def with_file_order(scan: DataFrame, paths: str | Sequence[str], name: str = "or
     if len(files) <= 1:
         ranked = placed.withColumn("_rank", F.lit(0))
     else:
-        ranked = placed.join(scan.sparkSession.createDataFrame(files, "_file string, _rank int"), "_file")
+        # one row per file, sent to all tasks: rows would else be sorted by file, and a file is one key
+        ranked = placed.join(F.broadcast(scan.sparkSession.createDataFrame(files, "_file string, _rank int")), "_file")
     ordinal = F.struct(F.col("_rank").alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))
     return ranked.withColumn(name, ordinal).drop("_file", "_block", "_row", "_rank")

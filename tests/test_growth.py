@@ -3,9 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cladegrid.plans.quality_queries import flag_files
 from cladegrid.plans.registry import Tables
+from cladegrid.sources.order import with_file_order
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(MIDDLE), reason="benchmark tables are not here")
@@ -35,3 +38,34 @@ def test_equal_unit_medians_have_the_warning_in_the_sql_too(spark, folder):
     assert sorted(tuple(str(r[c]) for c in columns) for r in found) == sql_rows("mann_whitney_tests", folder, columns, **views)
     assert {(r["global_p_value"], r["inference_warning"]) for r in found if r["metric"] == "tax"} == {(1.0, "NO_BETWEEN_UNIT_VARIATION")}
     assert {r["p_value"] for r in found if (r["metric"], r["group_1"], r["group_2"]) == ("price", "B1", "B2")} == {1.0}
+
+
+@pytest.fixture()
+def no_size_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_files_are_not_gathered_by_file(no_size_broadcast, folder):
+    spark = no_size_broadcast
+    spark.range(40).selectExpr("concat('s', id) as value").repartition(4).write.text(f"{folder}/a")
+    plan = plan_of(with_file_order(spark.read.text(f"{folder}/a"), f"{folder}/a"))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_file" not in plan
+
+
+@needs_tables
+def test_written_files_follow_the_number_of_partitions(spark):
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = flag_files(Tables(spark, SMALL), [F.col("l_suppkey"), F.col("l_partkey")], "\t")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len({r[0] for r in spark.read.text(paths).select(F.regexp_extract("_metadata.file_path", "part-(\\d+)", 1)).collect()}) > 8
