@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cladegrid.operators import pairs
 from cladegrid.plans.quality_queries import flag_files
 from cladegrid.plans.registry import Tables
+from cladegrid.session import apply_plan_settings
 from cladegrid.sources.order import with_file_order
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -69,3 +71,13 @@ def test_written_files_follow_the_number_of_partitions(spark):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert len({r[0] for r in spark.read.text(paths).select(F.regexp_extract("_metadata.file_path", "part-(\\d+)", 1)).collect()}) > 8
+
+
+def test_single_copy_pairs_count_repeated_rows_once(spark):
+    rows = [("g", "R", 1), ("g", "R", 1), ("g", "A", 2), ("g", "A", 2), ("g", "B", 3), ("g", "B", 4), ("g", "C", None)]
+    found = pairs.single_copy_pairs(spark.createDataFrame(rows, "part_id string, unit string, member long"), "part_id", "unit", "member", "R")
+    assert [(r["left_id"], r["right_id"]) for r in found.collect()] == [(1, 2)]
+    assert "count(" not in plan_of(found)  # a count of distinct members takes two more hash maps
+
+
+@needs_tables
