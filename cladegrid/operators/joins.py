@@ -47,15 +47,16 @@ def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], n: s
 
 def annotate_pair_ends(pairs: DataFrame, meta: DataFrame, first: str, second: str, key: str) -> DataFrame:
     """Attach the same metadata to both ends of a pair under ``_1`` and ``_2`` suffixes."""
-    result = pairs
-    for suffix, end in (("1", first), ("2", second)):
-        side = meta.select(
-            F.col(key).alias(end), *[F.col(c).alias(f"{c}_{suffix}") for c in meta.columns if c != key]
-        )
-        result = result.join(side, end, "left")
+    result = annotate_end(annotate_end(pairs, meta, first, key, "1"), meta, second, key, "2")
     return result.select(*pairs.columns, *[c for c in result.columns if c not in pairs.columns])
 
 
+def annotate_end(rows: DataFrame, meta: DataFrame, end: str, key: str, suffix: str) -> DataFrame:
+    """Attach metadata to one end under a suffix; where each end has a table of its own, before the pairs are formed."""
+    side = meta.select(F.col(key).alias(end), *[F.col(c).alias(f"{c}_{suffix}") for c in meta.columns if c != key])
+    return rows.join(side, end, "left")
+
+
 def integrate(
     base: DataFrame,
     tables: Sequence[tuple[DataFrame | None, str, Sequence[str]]],

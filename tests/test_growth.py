@@ -81,3 +81,6 @@ def test_single_copy_pairs_count_repeated_rows_once(spark):
 
 
 @needs_tables
+def test_lines_are_not_moved_for_each_end_of_a_pair(no_size_broadcast):
+    plan = plan_of(entry.queries()["pair_strata_and_flags"](no_size_broadcast, SMALL))
+    assert "hashpartitioning(stable_id" not in plan
