@@ -84,3 +84,16 @@ def test_single_copy_pairs_count_repeated_rows_once(spark):
 def test_lines_are_not_moved_for_each_end_of_a_pair(no_size_broadcast):
     plan = plan_of(entry.queries()["pair_strata_and_flags"](no_size_broadcast, SMALL))
     assert "hashpartitioning(stable_id" not in plan
+
+
+def test_bytes_of_a_task_are_bounded_and_smaller_settings_stay(spark):
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(key) for key in keys]
+    spark.conf.set(keys[0], "1GB")
+    spark.conf.set(keys[1], "16k")
+    try:
+        apply_plan_settings(spark)
+        assert (spark.conf.get(keys[0]), spark.conf.get(keys[1])) == (f"{32 << 20}b", "16k")
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
