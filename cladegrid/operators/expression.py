@@ -44,13 +44,14 @@ def long_from_abundance(
     """Member x sample grid from per-sample abundances.
 
     Item ids are looked up only within the unit of their sample. A member measured nowhere in a sample
-    of its own unit is an assayed zero; a sample of another unit is not applicable.
+    of its own unit is an assayed zero; a sample of another unit is not applicable. ``samples`` is the sample sheet, a
+    row per sample, and is sent to all tasks: few samples are few keys, and no task should hold one. Rows are summed
+    once, after those of other units have gone.
     """
-    summed = abundance.groupBy(sample, item).agg(F.sum(value).alias("_v"))
-    placed = summed.join(samples.select(sample, unit), sample)
+    placed = abundance.join(F.broadcast(samples.select(sample, unit)), sample)
     keyed = placed.join(mapping.select(unit, item, key), [unit, item])
-    sums = keyed.groupBy(sample, key).agg(F.sum("_v").alias("_v"))
-    grid = pair_blocks(members, samples.select(sample, F.col(unit).alias("sample_unit")))
+    sums = keyed.groupBy(sample, key).agg(F.sum(value).alias("_v"))
+    grid = pair_blocks(members, F.broadcast(samples.select(sample, F.col(unit).alias("sample_unit"))))
     cells = grid.join(sums, [sample, key], "left")
     applicable = F.col(unit) == F.col("sample_unit")
     status = (

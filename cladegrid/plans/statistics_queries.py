@@ -304,13 +304,12 @@ long AS (SELECT c.c_custkey, c.c_mktsegment, s.sample_id, s.sample_unit,
 def customer_abundance(t: Tables) -> DataFrame:
     """Customers as members, segments as units, order states within a segment as samples, prices as abundance."""
     people = t.customer.select("c_custkey", "c_mktsegment")
-    orders = t.orders.select("o_custkey", "o_orderstatus", "o_totalprice")
-    states = t.orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    orders = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.sum("o_totalprice").alias("o_totalprice"))
+    states = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
     sample = F.concat_ws("/", "c_mktsegment", "o_orderstatus")
     samples = states.select(sample.alias("sample_id"), "c_mktsegment").distinct()
-    abundance = orders.join(samples, F.substring_index("sample_id", "/", -1) == F.col("o_orderstatus")).select(
-        "sample_id", F.col("o_custkey").alias("gene_id"), "o_totalprice"
-    )
+    in_state = F.substring_index("sample_id", "/", -1) == F.col("o_orderstatus")
+    abundance = orders.join(F.broadcast(samples), in_state).select("sample_id", F.col("o_custkey").alias("gene_id"), "o_totalprice")
     mapping = people.select("c_mktsegment", F.col("c_custkey").alias("gene_id"), "c_custkey")
     return expression.long_from_abundance(
         people, samples, abundance, mapping, 300000.0, key="c_custkey", unit="c_mktsegment", value="o_totalprice"

@@ -97,3 +97,9 @@ def test_bytes_of_a_task_are_bounded_and_smaller_settings_stay(spark):
     finally:
         for key, value in zip(keys, before):
             spark.conf.set(key, value)
+
+
+@needs_tables
+def test_few_samples_are_no_keys_of_tasks(no_size_broadcast):
+    plan = plan_of(entry.queries()["abundance_long"](no_size_broadcast, SMALL))
+    assert "hashpartitioning(o_orderstatus" not in plan and "hashpartitioning(_block" not in plan
