@@ -38,7 +38,8 @@ def read_tiles(spark: SparkSession, path: str | Sequence[str], width: int = WIDT
         "file", "range", F.last("header", ignorenulls=True).over(before).alias("carried"),
         (F.col("sum") - F.coalesce(F.last(F.when(F.col("header").isNotNull(), F.col("sum")), ignorenulls=True).over(before), F.lit(0))).alias("since"),
     )
-    joined = pieces.where("residues <> ''").join(carried, ["file", "range"])
+    # one row per byte range, sent to all tasks, so that the residues stay where they were read
+    joined = pieces.where("residues <> ''").join(F.broadcast(carried), ["file", "range"])
     own = F.col("record") > 0
     placed = joined.select(
         "file", F.when(own, F.struct(F.col("range").alias("home"), "record", "seq_id")).otherwise(F.col("carried")).alias("header"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cladegrid.operators import pairs
+from cladegrid.operators import pairs, tiles
 from cladegrid.plans.quality_queries import flag_files
 from cladegrid.plans.registry import Tables
 from cladegrid.session import apply_plan_settings
@@ -86,6 +86,12 @@ def test_lines_are_not_moved_for_each_end_of_a_pair(no_size_broadcast):
     assert "hashpartitioning(stable_id" not in plan
 
 
+def test_residues_stay_where_they_are_read(no_size_broadcast, folder):
+    with open(f"{folder}/a.fa", "w") as f:
+        f.write(">a\nACGTAC\n")
+    assert "BroadcastHashJoin" in plan_of(tiles.read_tiles(no_size_broadcast, f"{folder}/a.fa", 4))
+
+
 def test_bytes_of_a_task_are_bounded_and_smaller_settings_stay(spark):
     keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
     before = [spark.conf.get(key) for key in keys]
